@@ -1,0 +1 @@
+"""Linkage is a batch job: no stream sources, state or late data are part of it."""
