@@ -94,3 +94,88 @@ def person_pairs(n: int) -> str:
 def person_links(numbers=range(1, 36)) -> str:
     union = "\nUNION ALL\n".join(f"SELECT id_l, id_r, {n} AS mkey FROM ({person_pairs(n)}) k{n}" for n in numbers)
     return f"SELECT id_l, id_r, min(mkey) AS mkey FROM ({union}) u GROUP BY id_l, id_r"
+
+
+# ------------------------------------------------------------------------- households
+def _common(s):
+    return f"len(list_distinct(list_intersect(l.{s}_set, r.{s}_set)))"
+
+
+def _share(s):
+    return f"{_common(s)} >= 1"
+
+
+def _best(s, score):
+    return (
+        f"list_max(flatten([[{score} for y in r.{s}_set] for x in l.{s}_set]))"
+    )
+
+
+def _max_lev(s, t):
+    return f"CAST({_best(s, '1 - levenshtein(x, y) / greatest(length(x), length(y))')} AS FLOAT)::DOUBLE > {t}::DOUBLE"
+
+
+def _max_jaro(s, t):
+    return f"CAST({_best(s, 'jaro_winkler_similarity(x, y)')} AS FLOAT)::DOUBLE > {t}::DOUBLE"
+
+
+CF, CS, CD = _share("fn"), _share("sn"), _share("dob")
+CA = "len(list_filter(flatten([[abs(x - y) for y in r.age_set] for x in l.age_set]), lambda d: d <= 1)) >= 1"
+TTR = _eq("tenure", "typaccom", "no_resi")
+TWO = f"(({_eq('tenure', 'typaccom')}) OR ({_eq('tenure', 'no_resi')}) OR ({_eq('no_resi', 'typaccom')}))"
+ONE = "l.hh_size = 1 AND r.hh_size = 1"
+SIZE = "l.hh_size = r.hh_size"
+NOFLAT = "l.flat_no IS NULL AND r.flat_no IS NULL"
+
+
+def _small(n):
+    return f"NOT ({_common('dob')} = 1 AND l.hh_size >= {n} AND r.hh_size >= {n})"
+
+
+U, P = "l.uprn = r.uprn", "l.pc = r.pc"
+LF, LS, JF, JS = (lambda t: _max_lev("fn", t)), (lambda t: _max_lev("sn", t)), (lambda t: _max_jaro("fn", t)), (
+    lambda t: _max_jaro("sn", t))
+
+HOUSEHOLD = {
+    1: f"{U} AND {CF} AND {CS} AND {CD}",
+    2: f"{U} AND {TTR} AND ({CF} OR {CS})",
+    3: f"{U} AND {TWO} AND ({CF} OR {CS}) AND {CD}",
+    4: f"{U} AND {CS} AND {CD}",
+    5: f"{U} AND {LF(.8)} AND {LS(.8)} AND {CD}",
+    6: f"{U} AND {JF(.8)} AND {JS(.8)} AND {CD}",
+    7: f"{U} AND {TTR} AND {LF(.6)} AND {LS(.6)} AND {CD} AND {_small(4)}",
+    8: f"{U} AND {TTR} AND {JF(.6)} AND {JS(.6)} AND {CD} AND {_small(4)}",
+    9: f"{U} AND {TTR} AND ({LF(.8)} OR {LS(.8)}) AND {CD}",
+    10: f"{U} AND ({LF(.5)} OR {LS(.5)}) AND {TWO} AND l.dob_set = r.dob_set AND {ONE}",
+    11: f"{U} AND ({JF(.6)} OR {JS(.6)}) AND {TWO} AND l.dob_set = r.dob_set AND {ONE}",
+    12: f"{U} AND ({LF(.8)} OR {LS(.8)}) AND {TWO} AND {ONE}",
+    13: f"{U} AND ({JF(.9)} OR {JS(.9)}) AND {TWO} AND {ONE}",
+    14: f"{P} AND {CF} AND {CS} AND {CD}",
+    15: f"{P} AND {TTR} AND {CF} AND {CS}",
+    16: f"{P} AND {TWO} AND ({CF} OR {CS}) AND {CD}",
+    17: f"{P} AND {TTR} AND ({LF(.8)} OR {LS(.8)}) AND {CD} AND {_small(3)}",
+    18: f"{P} AND {TTR} AND ({JF(.8)} OR {JS(.8)}) AND {CD} AND {_small(3)}",
+    19: f"{P} AND l.sn_set = r.sn_set AND l.fn_set = r.fn_set",
+    20: f"{P} AND l.house_no = r.house_no AND {TWO} AND {CF} AND {CS} AND {CA}",
+    21: f"{U} AND (({CF} AND {CS}) OR ({CF} AND {CD}) OR ({CF} AND {CA}) OR ({CS} AND {CD}) OR ({CS} AND {_share('age')}))",
+    22: f"{U} AND {JF(.8)} AND {JS(.8)} AND {SIZE}",
+    23: f"l.pc_sect = r.pc_sect AND l.house_no = r.house_no AND {CF} AND {CS} AND {_common('dob')} >= 2 AND {SIZE}",
+    24: f"{U} AND l.age_set = r.age_set AND {SIZE}",
+    25: f"{P} AND l.flat_no = r.flat_no AND l.house_no = r.house_no AND {SIZE} AND ({CF} OR {CD} OR {CS})",
+    26: f"{P} AND l.flat_no = r.flat_no AND {SIZE} AND {CF} AND {CD}",
+    27: f"{P} AND l.flat_no = r.flat_no AND {SIZE} AND {CS} AND {CD}",
+    28: f"{U} AND {ONE} AND ({CF} OR {CD} OR {CS})",
+    29: f"{P} AND l.house_no = r.house_no AND {ONE} AND ({CF} OR {CD} OR {CS})",
+    30: f"{U} AND {NOFLAT} AND {CA} AND {JF(.8)} AND {JS(.7)}",
+    31: f"{P} AND l.house_no = r.house_no AND {NOFLAT} AND {CA} AND {JF(.8)} AND {JS(.7)}",
+}
+
+
+def household_pairs(n: int) -> str:
+    return f"""SELECT DISTINCT l.hh_id AS hh_id_l, r.hh_id AS hh_id_r FROM lh l JOIN rh r ON {HOUSEHOLD[n]}
+  WHERE l.hh_size IS NOT NULL AND r.hh_size IS NOT NULL"""
+
+
+def household_links() -> str:
+    union = "\nUNION ALL\n".join(f"SELECT hh_id_l, hh_id_r, {n} AS hkey FROM ({household_pairs(n)}) h{n}" for n in HOUSEHOLD)
+    return f"SELECT hh_id_l, hh_id_r, min(hkey) AS hkey FROM ({union}) u GROUP BY hh_id_l, hh_id_r"

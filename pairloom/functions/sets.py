@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from pairloom.functions.similarity import jaro_above, jaro_winkler, lev_score
+from pairloom.functions.similarity import jaro_above_sql, jaro_winkler_sql, lev_score
 
 
 def common(a: Column, b: Column) -> Column:
@@ -45,16 +45,16 @@ def max_lev(a: Column, b: Column) -> Column:
     return _best(a, b, lev_score).cast("float")
 
 
-def max_jaro(a: Column, b: Column) -> Column:
-    """Best Jaro-Winkler score over all cross pairs, as a float."""
-    return _best(a, b, jaro_winkler)
+def max_jaro(a: str, b: str) -> Column:
+    """Best Jaro-Winkler score over all cross pairs of two array columns, as a float."""
+    return F.expr(f"array_max(transform({a}, x -> array_max(transform({b}, y -> {jaro_winkler_sql('x', 'y')}))))")
+
+
+def max_jaro_above(a: str, b: str, threshold: float) -> Column:
+    """``max_jaro(a, b) > threshold``."""
+    return F.expr(f"exists({a}, x -> exists({b}, y -> {jaro_above_sql('x', 'y', threshold)}))")
 
 
 def max_lev_above(a: Column, b: Column, threshold: float) -> Column:
     """``max_lev(a, b) > threshold``; compared as a float, so exactly 0.8 passes 0.80."""
     return _any(a, b, lambda x, y: lev_score(x, y).cast("float") > threshold)
-
-
-def max_jaro_above(a: Column, b: Column, threshold: float) -> Column:
-    """``max_jaro(a, b) > threshold``."""
-    return _any(a, b, lambda x, y: jaro_above(x, y, threshold))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
 # --- fixed values of the Jaro-Winkler score ---------------------------------------
@@ -11,8 +9,6 @@ _WINKLER_FLOOR = 0.7
 _WINKLER_PREFIX = 4
 _WINKLER_SCALE = 0.1
 
-_TAKEN = "\0"  # stands for a character already matched
-
 
 def lev_score(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length, as a double; NULL for two empty texts."""
@@ -35,92 +31,81 @@ def lev_within(a: Column, b: Column, edits: int) -> Column:
     return F.levenshtein(a, b, edits).between(0, edits)
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _shared_prefix(a: Column, b: Column) -> Column:
+# ---- Jaro-Winkler, as SQL text: one parse instead of many small expression calls ------
+# ``a`` and ``b`` stand for SQL expressions: column names, or variables of an outer lambda.
+def _shared_prefix(a: str, b: str) -> str:
     """Length of the common prefix, at most four, of two different texts."""
-    n = F.lit(0)
-    for size in range(1, _WINKLER_PREFIX + 1):
-        n = F.when(F.left(a, F.lit(size)) == F.left(b, F.lit(size)), size).otherwise(n)
-    return n
+    tests = [f"WHEN left({a}, {n}) = left({b}, {n}) THEN {n}" for n in range(_WINKLER_PREFIX, 0, -1)]
+    return f"CASE {' '.join(tests)} ELSE 0 END"
 
 
-def _jaro(matched: Column, half_swaps: Column, a: Column, b: Column) -> Column:
-    m = matched.cast("double")
-    return (m / F.length(a) + m / F.length(b) + (m - half_swaps) / m) / 3
+def _boosted(jaro: str, a: str, b: str) -> str:
+    """``jaro`` with the prefix bonus; computed once and then named ``base``."""
+    bonus = f"{_shared_prefix(a, b)} * {_WINKLER_SCALE}D * (1 - base)"
+    return f"get(transform(array({jaro}), base -> IF(base > {_WINKLER_FLOOR}D, base + {bonus}, base)), 0)"
 
 
-def _boosted(jaro: Column, a: Column, b: Column) -> Column:
-    gain = _shared_prefix(a, b) * _WINKLER_SCALE * (1 - jaro)
-    return F.when(jaro > _WINKLER_FLOOR, jaro + gain).otherwise(jaro)
+def _jaro(matched: str, half_swaps: str, a: str, b: str) -> str:
+    return f"({matched} / length({a}) + {matched} / length({b}) + ({matched} - {half_swaps}) / {matched}) / 3"
 
 
-def _jaro_by_matching(a: Column, b: Column) -> Column:
+def _jaro_by_matching(a: str, b: str) -> str:
     """Jaro score of two different, non-empty texts.
 
     Walks over ``a``; each character takes the first free equal character of
-    ``b`` within reach.  Taken characters of ``b`` are overwritten, which also
-    tells afterwards, in order, which ones were taken.
+    ``b`` within reach.  Taken characters of ``b`` are overwritten with NUL,
+    which also tells afterwards, in order, which ones were taken.
     """
-    reach = F.greatest(F.floor(F.greatest(F.length(a), F.length(b)) / 2).cast("int") - 1, F.lit(0))
-
-    def take(acc: Column, i: Column) -> Column:
-        ch = F.substring(a, i, F.lit(1))
-        at = F.position(ch, acc["free"], F.greatest(i - reach, F.lit(1)))
-        hit = F.struct(
-            F.overlay(acc["free"], F.lit(_TAKEN), at, F.lit(1)).alias("free"),
-            F.concat(acc["hits"], ch).alias("hits"),
-        )
-        return F.when(at.between(1, i + reach), hit).otherwise(acc)
-
-    def score(acc: Column) -> Column:
-        places = F.filter(
-            F.sequence(F.lit(1), F.length(b)), lambda j: F.substring(acc["free"], j, F.lit(1)) == _TAKEN
-        )
-        taken = F.transform(places, lambda j: F.substring(b, j, F.lit(1)))
-        out_of_place = F.size(
-            F.filter(F.zip_with(F.split(acc["hits"], ""), taken, lambda x, y: x != y), lambda differs: differs)
-        )
-        return F.when(acc["hits"] == "", F.lit(0.0)).otherwise(
-            _jaro(F.length(acc["hits"]), F.floor(out_of_place / 2), a, b)
-        )
-
-    start = F.struct(b.alias("free"), F.lit("").alias("hits"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(a)), start, take, score)
-
-
-def jaro_winkler(a: Column, b: Column) -> Column:
-    """Jaro-Winkler similarity as a float; NULL if either text is NULL."""
-    score = (
-        F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
-        .when((a == "") | (b == ""), F.lit(0.0))
-        .when(a == b, F.lit(1.0))
-        .otherwise(_let(_jaro_by_matching(a, b), lambda j: _boosted(j, a, b)))
+    reach = f"greatest(greatest(length({a}), length({b})) div 2 - 1, 0)"
+    letter = f"substr({a}, i, 1)"
+    at = f"locate({letter}, acc.free, int(greatest(i - {reach}, 1)))"
+    step = (
+        f"CASE WHEN {at} BETWEEN 1 AND i + {reach} THEN named_struct("
+        f"'free', overlay(acc.free PLACING chr(0) FROM {at} FOR 1), 'hits', concat(acc.hits, {letter})) ELSE acc END"
     )
-    return score.cast("float")
+    places = f"filter(sequence(1, length({b})), j -> substr(acc.free, j, 1) = chr(0))"
+    swaps = (
+        f"size(filter(zip_with(split(acc.hits, ''), transform({places}, j -> substr({b}, j, 1)), (u, w) -> u <> w), d -> d))"
+    )
+    score = f"IF(acc.hits = '', 0D, {_jaro('length(acc.hits)', f'{swaps} div 2', a, b)})"
+    return (
+        f"aggregate(sequence(1, length({a})), named_struct('free', {b}, 'hits', ''), (acc, i) -> {step}, acc -> {score})"
+    )
+
+
+def jaro_winkler_sql(a: str, b: str) -> str:
+    return (
+        f"CAST(CASE WHEN {a} IS NULL OR {b} IS NULL THEN NULL WHEN {a} = '' OR {b} = '' THEN 0D WHEN {a} = {b} THEN 1D "
+        f"ELSE {_boosted(_jaro_by_matching(a, b), a, b)} END AS FLOAT)"
+    )
+
+
+def _jaro_winkler_at_best(a: str, b: str) -> str:
+    """Upper bound of the score from the letters that both texts have at all."""
+    shared = (
+        f"least(length({a}) - length(translate({a}, {b}, '')), length({b}) - length(translate({b}, {a}, '')))"
+    )
+    return f"get(transform(array({shared}), m -> IF(m = 0, 0D, {_boosted(_jaro('m', '0', a, b), a, b)})), 0)"
+
 
+def jaro_above_sql(a: str, b: str, threshold: float) -> str:
+    possible = f"{_jaro_winkler_at_best(a, b)} > {threshold - 1e-6}D"
+    return f"({a} = {b} OR ({possible} AND {jaro_winkler_sql(a, b)} > {threshold}D))"
 
-def _jaro_winkler_at_best(a: Column, b: Column) -> Column:
-    """Upper bound of the score from the letters both texts have at all."""
-    def held(x: Column, y: Column) -> Column:
-        return F.length(x) - F.length(F.call_function("translate", x, y, F.lit("")))
 
-    return _let(F.least(held(a, b), held(b, a)), lambda m: F.when(m == 0, F.lit(0.0)).otherwise(
-        _let(_jaro(m, F.lit(0), a, b), lambda j: _boosted(j, a, b))))
+def jaro_winkler(a: str, b: str) -> Column:
+    """Jaro-Winkler similarity of two columns as a float; NULL if either is NULL."""
+    return F.expr(jaro_winkler_sql(a, b))
 
 
-def jaro_above(a: Column, b: Column, threshold: float) -> Column:
+def jaro_above(a: str, b: str, threshold: float) -> Column:
     """``jaro_winkler(a, b) > threshold`` with a cheap bound tried first.
 
     The score is single precision and the threshold double, so a score of
     exactly 0.8 passes 0.80 and one of exactly 0.9 fails 0.90; the bound keeps
     a margin for that.
     """
-    possible = _jaro_winkler_at_best(a, b) > threshold - 1e-6
-    return (a == b) | (possible & (jaro_winkler(a, b) > threshold))
+    return F.expr(jaro_above_sql(a, b, threshold))
 
 
 def contained_name(a: Column, b: Column) -> Column:

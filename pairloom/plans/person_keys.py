@@ -1,26 +1,20 @@
 """Linking people by ordered keys: the lower the key number, the better the link.
 
-A key is one or two routes (columns that must be equal) and a rule on what is
-left.  One key alone is a join on its routes.  All keys together are joined
-once per block, not once per key: a pair met in a block is given the lowest key
-it satisfies there, and the lowest over all blocks is the pair's key.
+The 35 keys are data; ``operators.keys`` runs them one by one or together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.similarity import contained_name, jaro_above, lev_above, lev_within
-from pairloom.operators.blocks import block_join, hot_blocks, hot_part, same
+from pairloom.operators.blocks import hot_part, same
 from pairloom.operators.columns import SUFFIX, count_by
+from pairloom.operators.keys import Key, Route, block_keys, hot_in, route_pairs, single_key
 from pairloom.operators.pairs import PAIR, best_key
 
-Route = tuple[str, ...]
-
 CARRIED = [
     "id", "fullname_ns", "fullname", "fn", "fn1", "fn1_nickname", "fn2", "sn", "sn1", "res_fn1", "res_sn1",
     "dob", "day", "mon", "year", "age", "sex", "alphaname", "pc", "pc_area", "pc_sect", "uprn", "house_no", "pc_substr",
@@ -82,7 +76,7 @@ def alike(column: str, threshold: float) -> Column:
 
 
 def sounds_alike(column: str, threshold: float) -> Column:
-    return jaro_above(_l(column), _r(column), threshold)
+    return jaro_above(f"{column}_l", f"{column}_r", threshold)
 
 
 def ages_within(years: int) -> Column:
@@ -119,13 +113,6 @@ def dates_one_edit_apart() -> Column:
     return lev_within(_r("dob"), _l("dob"), 1)
 
 
-@dataclass(frozen=True)
-class Key:
-    number: int
-    routes: tuple[Route, ...]
-    rule: Callable[[], Column] | None = None
-
-
 ADDRESS = (("dob", "sex", "uprn"), ("dob", "sex", "pc", "house_no"))
 
 KEYS: tuple[Key, ...] = (
@@ -169,6 +156,8 @@ KEYS: tuple[Key, ...] = (
 )
 BY_NUMBER = {k.number: k for k in KEYS}
 MOVES_KEY = 28
+ALT_KEY = 34
+ALT_BLOCK = ("dob", "sex", "place")
 
 # Blocks of the joint run.  A route is met in a block whose columns it contains; equal names imply equal
 # initials, so the last block serves the keys that ask for equal names wherever the person lives.
@@ -177,32 +166,21 @@ BLOCKS: dict[Route, tuple[int, ...]] = {
     ("uprn", "dob"): (2, 7, 16, 17, 18, 19, 27),
     ("pc", "sex"): (20, 21, 22, 26, 32),
     ("uprn", "sex"): (6, 23, 24, 25, 35),
-    ("dob", "sex", "place"): (34,),
     ("dob", "sex", "fn_initial", "sn_initial"): (29, 30, 31),
 }
-_INITIALS = {"fn_initial", "sn_initial"}
+INITIALS = frozenset({"fn_initial", "sn_initial"})
 
 
 # ------------------------------------------------------------------------------- one key
-def _expanded(left: DataFrame, right: DataFrame, on: Sequence[str]):
-    if "place" in on:
-        return with_places(left, "left"), with_places(right, "right")
-    return left, right
-
-
-def _route_pairs(left: DataFrame, right: DataFrame, route: Route, rule, hot=None) -> DataFrame:
-    left, right = _expanded(left, right, route)
-    return block_join(left, right, route, rule() if rule else None, hot)
-
-
 def key_pairs(left: DataFrame, right: DataFrame, number: int) -> DataFrame:
     """Distinct pairs that one key links.  ``left`` and ``right`` are cleaned people."""
     key = BY_NUMBER[number]
     left, right = keyed(left, "left"), keyed(right, "right")
-    met = [_route_pairs(left, right, route, key.rule) for route in key.routes]
     if number == MOVES_KEY:
-        return moved_together(met[0])
-    return reduce(DataFrame.unionByName, [m.select(*PAIR) for m in met]).distinct()
+        return moved_together(route_pairs(left, right, key.routes[0], key.rule()))
+    if "place" in key.routes[0]:
+        left, right = with_places(left, "left"), with_places(right, "right")
+    return single_key(left, right, key, PAIR)
 
 
 def moved_together(pairs: DataFrame) -> DataFrame:
@@ -231,44 +209,20 @@ def moved_together(pairs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------------------ all keys
-def _holds_in(block: Route, key: Key) -> Column:
-    """A key's full condition for pairs that already agree on the block's columns."""
-    def route_condition(route: Route) -> Column | None:
-        rest = [c for c in route if c not in block and c not in _INITIALS]
-        parts = ([same(*rest)] if rest else []) + ([key.rule()] if key.rule else [])
-        return reduce(lambda a, b: a & b, parts) if parts else F.lit(True)
-
-    served = [route for route in key.routes if set(block) - _INITIALS <= set(route)]
-    return reduce(lambda a, b: a | b, [route_condition(route) for route in served])
-
-
-def lowest_key(block: Route, numbers: Sequence[int]) -> tuple[Column, Column]:
-    """The lowest key a pair satisfies in a block, and whether it satisfies any."""
-    conditions = [(n, _holds_in(block, BY_NUMBER[n])) for n in sorted(numbers)]
-    key = reduce(lambda chosen, nc: chosen.when(nc[1], nc[0]), conditions[1:], F.when(conditions[0][1], conditions[0][0]))
-    return key, reduce(lambda a, b: a | b, [c for _, c in conditions])
-
-
-def link_people(left: DataFrame, right: DataFrame, numbers: Sequence[int] | None = None) -> DataFrame:
+def link_people(left: DataFrame, right: DataFrame) -> DataFrame:
     """``(id_l, id_r, mkey)``: every pair any key links, with its lowest key."""
-    wanted = set(numbers or BY_NUMBER)
     left, right = keyed(left, "left"), keyed(right, "right")
-    blocks = list(BLOCKS)
-    plain = [b for b in blocks if "place" not in b]
-    hot = hot_blocks(left, right, plain)
-    linked = []
-    for block, keys in BLOCKS.items():
-        keys = [k for k in keys if k in wanted]
-        if not keys:
-            continue
-        key, any_key = lowest_key(block, keys)
-        own_hot = hot_part(hot, plain.index(block)) if block in plain else None
-        met = _route_pairs(left, right, block, lambda any_key=any_key: any_key, own_hot)
-        linked.append(met.select(*PAIR, key.alias("mkey")))
-    if MOVES_KEY in wanted:
-        route, rule = BY_NUMBER[MOVES_KEY].routes[0], BY_NUMBER[MOVES_KEY].rule
-        moves = moved_together(_route_pairs(left, right, route, rule, hot_part(hot, plain.index(route)) if hot is not None else None))
-        linked.append(moves.select(*PAIR, F.lit(MOVES_KEY).alias("mkey")))
+    blocks = {block: [BY_NUMBER[n] for n in numbers] for block, numbers in BLOCKS.items()}
+    hot = hot_in(left, right, blocks)
+    linked = block_keys(left, right, blocks, PAIR, "mkey", INITIALS, hot)
+
+    by_place = {ALT_BLOCK: [BY_NUMBER[ALT_KEY]]}
+    left_places, right_places = with_places(left, "left"), with_places(right, "right")
+    linked += block_keys(left_places, right_places, by_place, PAIR, "mkey")
+
+    moves = BY_NUMBER[MOVES_KEY]
+    same_names = route_pairs(left, right, moves.routes[0], moves.rule(), hot_part(hot, list(blocks).index(moves.routes[0])))
+    linked.append(moved_together(same_names).select(*PAIR, F.lit(MOVES_KEY).alias("mkey")))
     return best_key(reduce(DataFrame.unionByName, linked))
 
 
