@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from fixtures.raw_sql import duckdb_ctes
+import re
+
+from fixtures.raw_sql import raw_ctes
 
 FLOOR_TERMS = [
     "FIRST FLOOR FLAT", "FLAT 1ST FLOOR", "SECOND FLOOR FLAT", "FLAT 2ND FLOOR", "FLAT 1ST AND 2ND FLOOR",
@@ -244,11 +246,25 @@ _CTES += [
   LEFT JOIN right_sets s ON s.hh_id = h2.hh_id"""),
 ]
 
-# names each CTE builds on, so a check carries only what it needs
-_BY_NAME = dict(_CTES)
 
 
-def with_clause(*extra: tuple[str, str], base: bool = True) -> str:
-    """``WITH`` text holding the raw tables, the cleaned tables and ``extra`` CTEs."""
-    later = ",\n".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in (*_CTES, *extra))
-    return f"WITH {duckdb_ctes()},\n{later}"
+def with_clause(extra=(), needed: str | None = None) -> str:
+    """``WITH`` text of the raw and cleaned tables and ``extra`` CTEs.
+
+    Given the text that follows (``needed``), only the CTEs it builds on are kept.
+    """
+    all_ctes = [(n, q) for n, q in (*raw_ctes(), *_CTES, *extra)]
+    if needed is not None:
+        all_ctes = _only_needed(all_ctes, needed)
+    body = ",\n".join(f"{n} AS {'' if n.endswith('_reach') else 'MATERIALIZED '}({q})" for n, q in all_ctes)
+    recursive = "RECURSIVE " if any(n.endswith("_reach") for n, _ in all_ctes) else ""
+    return f"WITH {recursive}{body}"
+
+
+def _only_needed(ctes, text: str):
+    kept = []
+    for name, sql in reversed(ctes):
+        if re.search(rf"\b{name}\b", text):
+            kept.append((name, sql))
+            text += "\n" + sql
+    return list(reversed(kept))

@@ -318,5 +318,6 @@ def spark_raw(spark, sf_dir: str, table: str):
     return spark.sql(f"WITH {with_clause(f'parquet.`{sf_dir}/customer.parquet`')} SELECT * FROM {table}")
 
 
-def duckdb_ctes() -> str:
-    return with_clause("customer")
+def raw_ctes(customer: str = "customer") -> list[tuple[str, str]]:
+    """The raw tables as named queries."""
+    return [(name, sql.replace("{customer}", customer)) for name, sql in _CTES]
