@@ -256,6 +256,8 @@ def with_clause(extra=(), needed: str | None = None) -> str:
     all_ctes = [(n, q) for n, q in (*raw_ctes(), *_CTES, *extra)]
     if needed is not None:
         all_ctes = _only_needed(all_ctes, needed)
+    if not all_ctes:
+        return ""
     body = ",\n".join(f"{n} AS {'' if n.endswith('_reach') else 'MATERIALIZED '}({q})" for n, q in all_ctes)
     recursive = "RECURSIVE " if any(n.endswith("_reach") for n, _ in all_ctes) else ""
     return f"WITH {recursive}{body}"

@@ -26,15 +26,15 @@ def right_stage(spark, sf_dir: str) -> CleanPeople:
     )
 
 
-def people(spark, sf_dir: str):
-    return left_stage(spark, sf_dir).people, right_stage(spark, sf_dir).people
+def left_households(spark, sf_dir: str, left):
+    """``left`` are the cleaned left people."""
+    return clean_left_households(
+        spark_raw(spark, sf_dir, "raw_left_households"), spark_raw(spark, sf_dir, "raw_left_forms"), left
+    )
 
 
-def households(spark, sf_dir: str):
-    left, right = people(spark, sf_dir)
-    return (
-        clean_left_households(spark_raw(spark, sf_dir, "raw_left_households"), spark_raw(spark, sf_dir, "raw_left_forms"), left),
-        clean_right_households(
-            spark_raw(spark, sf_dir, "raw_right_households"), spark_raw(spark, sf_dir, "raw_right_forms"), right
-        ),
+def right_households(spark, sf_dir: str, right):
+    """``right`` are the cleaned right people."""
+    return clean_right_households(
+        spark_raw(spark, sf_dir, "raw_right_households"), spark_raw(spark, sf_dir, "raw_right_forms"), right
     )

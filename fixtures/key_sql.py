@@ -179,3 +179,24 @@ def household_pairs(n: int) -> str:
 def household_links() -> str:
     union = "\nUNION ALL\n".join(f"SELECT hh_id_l, hh_id_r, {n} AS hkey FROM ({household_pairs(n)}) h{n}" for n in HOUSEHOLD)
     return f"SELECT hh_id_l, hh_id_r, min(hkey) AS hkey FROM ({union}) u GROUP BY hh_id_l, hh_id_r"
+
+
+# ------------------------------------------------------------------------ pre-search passes
+PRESEARCH = {
+    1: f"{_eq('dob')} AND {L60}",
+    2: f"{_eq('age')} AND {L60}",
+    3: f"{_eq('fn1', 'dob')} AND {_lev('l.sn1', 'r.sn1', 0.4)}",
+    4: f"{_eq('sn1', 'dob')} AND {_lev('l.fn', 'r.fn', 0.4)}",
+    5: _eq("fn1", "sn1"),
+    6: _eq("fn2", "sn1"),
+    7: _eq("fn1", "fn2"),
+    8: _eq("fn1", "dob"),
+    9: _eq("fn2", "dob"),
+    10: _eq("sn1", "dob"),
+    11: _eq("fn1_nickname", "sn1", "age"),
+    12: f"l.sn1 = r.sn1 AND r.pc = l.pc_1y AND {_lev('l.fn1', 'r.fn1', 0.6)}",
+}
+
+
+def presearch_pairs(n: int) -> str:
+    return f"SELECT DISTINCT l.id AS id_l, r.id AS id_r FROM l JOIN r ON {PRESEARCH[n]}"
