@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
-from fixtures.raw_sql import raw_ctes
+from fixtures.raw_sql import needed_for, raw_ctes
 
 FLOOR_TERMS = [
     "FIRST FLOOR FLAT", "FLAT 1ST FLOOR", "SECOND FLOOR FLAT", "FLAT 2ND FLOOR", "FLAT 1ST AND 2ND FLOOR",
@@ -255,18 +253,9 @@ def with_clause(extra=(), needed: str | None = None) -> str:
     """
     all_ctes = [(n, q) for n, q in (*raw_ctes(), *_CTES, *extra)]
     if needed is not None:
-        all_ctes = _only_needed(all_ctes, needed)
+        all_ctes = needed_for(needed, all_ctes)
     if not all_ctes:
         return ""
     body = ",\n".join(f"{n} AS {'' if n.endswith('_reach') else 'MATERIALIZED '}({q})" for n, q in all_ctes)
     recursive = "RECURSIVE " if any(n.endswith("_reach") for n, _ in all_ctes) else ""
     return f"WITH {recursive}{body}"
-
-
-def _only_needed(ctes, text: str):
-    kept = []
-    for name, sql in reversed(ctes):
-        if re.search(rf"\b{name}\b", text):
-            kept.append((name, sql))
-            text += "\n" + sql
-    return list(reversed(kept))

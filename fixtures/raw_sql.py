@@ -7,6 +7,8 @@ Every table grows with ``customer``; only the nickname list is a fixed lookup.
 
 from __future__ import annotations
 
+import re
+
 # --- fixed values: names, areas ------------------------------------------------
 FIRST_NAMES = (
     "CHARLES,JOHN,DAVID,ELIZABETH,STEPHEN,ROBERT,MARGARET,KATHERINE,ANDREW,WILLIAM,CATRIONA,THOMAS,"
@@ -308,14 +310,28 @@ FROM base WHERE v = 40
 RAW_TABLES = tuple(name for name, _ in _CTES if name.startswith("raw_"))
 
 
-def with_clause(customer: str) -> str:
-    """The ``WITH`` list (without the keyword) for a given customer relation."""
-    return ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in _CTES).replace("{customer}", customer)
+def needed_for(text: str, ctes: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Those CTEs that ``text`` builds on, directly or through others, in their order."""
+    kept = []
+    for name, sql in reversed(ctes):
+        if re.search(rf"\b{name}\b", text):
+            kept.append((name, sql))
+            text += "\n" + sql
+    return kept[::-1]
+
+
+def _spread(df):
+    """Rows over all cores where a table is one small file; a table of many splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def spark_raw(spark, sf_dir: str, table: str):
     """One raw table as a DataFrame over the driver's ``customer`` Parquet file."""
-    return spark.sql(f"WITH {with_clause(f'parquet.`{sf_dir}/customer.parquet`')} SELECT * FROM {table}")
+    customer = _spread(spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey"))
+    query = f"SELECT * FROM {table}"
+    ctes = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in needed_for(query, _CTES))
+    return spark.sql(f"WITH {ctes} {query}", customer=customer)
 
 
 def raw_ctes(customer: str = "customer") -> list[tuple[str, str]]:

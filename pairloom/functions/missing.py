@@ -30,8 +30,11 @@ def coded_int(c: Column) -> Column:
 
 
 def digits_int(c: Column) -> Column:
-    """Digits of a text as an integer, NULL when there are none."""
-    return F.regexp_replace(c, "[^0-9]", "").try_cast("int")
+    """Digits of a text as an integer, NULL when there are none.
+
+    Blanks become NULL before the cast: a failing cast costs far more than a test.
+    """
+    return blank_to_null(F.regexp_replace(c, "[^0-9]+", "")).try_cast("int")
 
 
 def as_int(c: Column) -> Column:

@@ -37,10 +37,13 @@ def remove_final_char(c: Column) -> Column:
     return F.left(c, F.greatest(F.length(c) - 1, F.lit(0)))
 
 
-def name_part(c: Column, position: int) -> Column:
-    """The ``position``-th word (from 0) of a cleaned name, NULL past the end."""
-    words = F.split(clean_names_az(single_space(hyphen_to_space(c))), " ")
-    return F.get(words, F.lit(position))
+def name_words(c: Column) -> Column:
+    """The cleaned words of a name.  Runs of hyphens need no pattern here: blanks are merged next."""
+    return F.split(clean_names_az(single_space(_hyphens_out(c))), " ")
+
+
+def _hyphens_out(c: Column) -> Column:
+    return F.trim(F.replace(c, F.lit("-"), F.lit(" ")))
 
 
 def forenames(first: Column, middle: Column) -> Column:
@@ -52,6 +55,6 @@ def forenames(first: Column, middle: Column) -> Column:
 def full_name(fore: Column, last: Column) -> Column:
     """Forenames and last name as cleaned words; NULL if either is NULL."""
     def words(c: Column) -> Column:
-        return clean_names_az(hyphen_to_space(c))
+        return clean_names_az(_hyphens_out(c))
 
     return single_space(F.concat(words(fore), F.lit(" "), words(last)))

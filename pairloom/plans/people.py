@@ -78,27 +78,21 @@ def standardise(raw: DataFrame, side: str) -> DataFrame:
     named = upper.withColumn("forenames", nm.forenames(F.col("first_name"), F.col("middle_name"))).withColumn(
         "fullname", nm.full_name(F.col("forenames"), F.col("last_name"))
     )
-    parts = {
-        "fn": nm.clean_names_nospace(F.col("forenames")),
-        "sn": nm.clean_names_nospace(F.col("last_name")),
-        "res_fn": nm.clean_names_nospace(F.col("resident_first_name")),
-        "res_sn": nm.clean_names_nospace(F.col("resident_last_name")),
-        "fullname_ns": nm.clean_names_nospace(F.col("fullname")),
-        "alphaname": nm.alpha(nm.clean_names_nospace(F.col("fullname"))),
-    }
-    for prefix, source in (
-        ("fn", "forenames"), ("sn", "last_name"), ("res_fn", "resident_first_name"), ("res_sn", "resident_last_name")
-    ):
-        parts[f"{prefix}1"] = nm.name_part(F.col(source), 0)
-        parts[f"{prefix}2"] = nm.name_part(F.col(source), 1)
-    dropped = ("first_name", "middle_name", "resident_first_name", "resident_last_name")
-    blankable = ("forenames", "last_name", "fullname")
-    kept = [c for c in named.columns if c not in dropped + blankable]
-    return named.select(
-        *kept,
-        *[mis.blank_to_null(F.col(c)).alias(c) for c in blankable],
-        *[mis.blank_to_null(c).alias(name) for name, c in parts.items()],
+    sources = {"fn": "forenames", "sn": "last_name", "res_fn": "resident_first_name", "res_sn": "resident_last_name"}
+    # words are split once per name and letters stripped once; the parts are picked in the next step
+    worded = named.select(
+        *[c for c in named.columns if not c.startswith("resident_") and c not in ("first_name", "middle_name")],
+        *[nm.name_words(F.col(source)).alias(f"{prefix}_words") for prefix, source in sources.items()],
+        *[nm.clean_names_nospace(F.col(source)).alias(prefix) for prefix, source in sources.items()],
+        nm.clean_names_nospace(F.col("fullname")).alias("fullname_ns"),
     )
+    picked = {"alphaname": nm.alpha(F.col("fullname_ns"))}
+    for prefix in sources:
+        for position in (0, 1):
+            picked[f"{prefix}{position + 1}"] = F.get(f"{prefix}_words", F.lit(position))
+    picked |= {c: F.col(c) for c in ("forenames", "last_name", "fullname", "fullname_ns", *sources)}
+    kept = [c for c in worded.columns if c not in picked and not c.endswith("_words")]
+    return worded.select(*kept, *[mis.blank_to_null(c).alias(name) for name, c in picked.items()])
 
 
 def _birth(raw: DataFrame, side: str):

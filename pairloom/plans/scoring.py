@@ -56,12 +56,23 @@ def candidates(left: DataFrame, right: DataFrame, extra: Sequence[str] = ()) ->
 
 
 # --------------------------------------------------------------------------- agreements
-def name_agreement(first: str, whole: str) -> Column:
-    """Similarity of a name, raised to that of the whole name if higher; nearly equal counts as equal."""
-    by_first = lev_score(F.col(f"{first}_r"), F.col(f"{first}_l"))
-    by_whole = lev_score(F.col(f"{whole}_r"), F.col(f"{whole}_l"))
+NAMES = {"fn1": "fn", "sn1": "sn"}
+
+
+def with_name_scores(pairs: DataFrame) -> DataFrame:
+    """Similarities of first words and of whole names, computed once each."""
+    columns = [c for pair in NAMES.items() for c in pair]
+    return pairs.select("*", *[lev_score(F.col(f"{c}_r"), F.col(f"{c}_l")).alias(f"_{c}_score") for c in columns])
+
+
+def name_agreement(first: str) -> Column:
+    """The score of a name, raised to that of the whole name if higher; nearly equal counts as equal.
+
+    An unknown first word is not raised: it stays unknown, which counts as 0.
+    """
+    by_first, by_whole = F.col(f"_{first}_score"), F.col(f"_{NAMES[first]}_score")
     best = F.when(by_whole > by_first, by_whole).otherwise(by_first)
-    return F.when(best > NAME_FULL_AGREEMENT, F.lit(1.0)).otherwise(best)
+    return F.coalesce(F.when(best > NAME_FULL_AGREEMENT, F.lit(1.0)).otherwise(best), F.lit(0.0))
 
 
 def date_agreement() -> Column:
@@ -98,10 +109,9 @@ def cut(agreement: Column, at: float) -> Column:
 def with_agreements(pairs: DataFrame) -> DataFrame:
     """Adds ``fn1_agreement, sn1_agreement, sex_agreement, dob_agreement``."""
     nickname = F.arrays_overlap(F.col("nicknames_l"), F.col("nicknames_r"))
-    first = F.when(nickname, F.lit(1.0)).otherwise(F.coalesce(name_agreement("fn1", "fn"), F.lit(0.0)))
-    named = pairs.select(
-        "*", first.alias("fn1_agreement"),
-        F.coalesce(name_agreement("sn1", "sn"), F.lit(0.0)).alias("sn1_agreement"),
+    first = F.when(nickname, F.lit(1.0)).otherwise(name_agreement("fn1"))
+    named = with_name_scores(pairs).select(
+        *pairs.columns, first.alias("fn1_agreement"), name_agreement("sn1").alias("sn1_agreement"),
         F.when(same("sex"), F.lit(1.0)).otherwise(F.lit(0.0)).alias("sex_agreement"),
     )
     dated = named.select("*", cut(rescued_date(date_agreement()), DOB_CUTOFF).alias("dob_agreement"))

@@ -15,6 +15,8 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "pairloom")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # joins on blocks cost far more than their bytes say: keep small shuffles on all cores
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
