@@ -47,9 +47,20 @@ EXACT_U = "\nUNION ALL\n".join(
     for i, v in enumerate(VARIABLES)
 )
 
+
+
+def _value(variable, column):
+    return f"max({column}) FILTER (WHERE variable = '{variable}')"
+
+
+def _log_ratio(a, b):
+    """log2(a / b), NULL where the ratio is not positive or has no value."""
+    return f"log2(nullif(({a}) / nullif({b}, 0), 0))"
+
+
 WEIGHTS = "SELECT " + ", ".join(
-    f"log2(max(m_value) FILTER (WHERE variable = '{v}') / max(u_value) FILTER (WHERE variable = '{v}')) AS {v}_aw, "
-    f"log2((1 - max(m_value) FILTER (WHERE variable = '{v}')) / (1 - max(u_value) FILTER (WHERE variable = '{v}'))) AS {v}_dw"
+    f"{_log_ratio(_value(v, 'm_value'), _value(v, 'u_value'))} AS {v}_aw, "
+    f"{_log_ratio('1 - ' + _value(v, 'm_value'), '1 - ' + _value(v, 'u_value'))} AS {v}_dw"
     for v in VARIABLES
 ) + " FROM m_values JOIN u_values USING (variable)"
 

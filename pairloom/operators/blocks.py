@@ -36,6 +36,16 @@ def _blockable(df: DataFrame, on: Sequence[str], side: str) -> DataFrame:
     return df.dropna(subset=[c + SUFFIX[side] for c in on])
 
 
+def _block_keys(df: DataFrame, side: str, blocks: Sequence[Sequence[str]]) -> DataFrame:
+    """``(block, key_hash)`` of every block a row can match in, from one pass over the rows."""
+    def known(on: Sequence[str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(c + SUFFIX[side]).isNotNull() for c in on])
+
+    keys = [F.when(known(on), F.struct(F.lit(n).alias("block"), _key_hash(on, side).alias("key_hash")))
+            for n, on in enumerate(blocks)]
+    return df.select(F.explode(F.array_compact(F.array(*keys))).alias("key")).select("key.*")
+
+
 def hot_blocks(left: DataFrame, right: DataFrame, blocks: Sequence[Sequence[str]], cell_rows: int = CELL_ROWS):
     """Blocks with more than ``cell_rows`` squared pairs, and how to split them.
 
@@ -43,13 +53,13 @@ def hot_blocks(left: DataFrame, right: DataFrame, blocks: Sequence[Sequence[str]
     after one aggregate over the blocking columns of all ``blocks``.  Two blocks
     with one hash only share a split.
     """
-    sizes = []
-    for number, on in enumerate(blocks):
-        for side, df in (("left", left), ("right", right)):
-            n = [F.lit(1 if s == side else 0).cast("long").alias(f"n{SUFFIX[s]}") for s in SUFFIX]
-            key = _key_hash(on, side).alias("key_hash")
-            sizes.append(_blockable(df, on, side).select(F.lit(number).alias("block"), key, *n))
-    total = reduce(DataFrame.unionByName, sizes).groupBy("block", "key_hash")
+    sizes = [
+        _block_keys(df, side, blocks).select(
+            "block", "key_hash", *[F.lit(1 if s == side else 0).cast("long").alias(f"n{SUFFIX[s]}") for s in SUFFIX]
+        )
+        for side, df in (("left", left), ("right", right))
+    ]
+    total = sizes[0].unionByName(sizes[1]).groupBy("block", "key_hash")
     total = total.agg(F.sum("n_l").alias("n_l"), F.sum("n_r").alias("n_r"))
     hot = total.filter(F.col("n_l").cast("double") * F.col("n_r") > float(cell_rows) ** 2).select(
         "block", "key_hash",

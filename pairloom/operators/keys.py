@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.operators.blocks import block_join, hot_blocks, hot_part, same
+from pairloom.operators.blocks import block_join, hot_part, same
 
 Route = tuple[str, ...]
 
@@ -69,17 +69,14 @@ def lowest_key(block: Route, keys: Sequence[Key], implied: frozenset[str] = froz
 
 def block_keys(
     left: DataFrame, right: DataFrame, blocks: Mapping[Route, Sequence[Key]], pair: list[str], name: str,
-    implied: frozenset[str] = frozenset(), hot: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> list[DataFrame]:
     """Per block the pairs met there with their lowest key of that block."""
     linked = []
     for number, (block, keys) in enumerate(blocks.items()):
         if keys:
-            lowest, any_key = lowest_key(block, keys, implied)
+            lowest, any_key = lowest_key(block, keys)
             met = route_pairs(left, right, block, any_key, hot_part(hot, number))
             linked.append(met.select(*pair, lowest.alias(name)))
     return linked
 
-
-def hot_in(left: DataFrame, right: DataFrame, blocks: Mapping[Route, Sequence[Key]]) -> DataFrame | None:
-    return hot_blocks(left, right, list(blocks))

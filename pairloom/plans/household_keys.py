@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions import sets as st
-from pairloom.operators.blocks import same
+from pairloom.operators.blocks import hot_blocks, same
 from pairloom.operators.columns import SUFFIX, count_by
-from pairloom.operators.keys import Key, Route, all_of, any_of, block_keys, hot_in, single_key
+from pairloom.operators.keys import Key, Route, all_of, any_of, block_keys, single_key
 from pairloom.operators.pairs import best_key
 
 HH_PAIR = ["hh_id_l", "hh_id_r"]
@@ -144,7 +144,7 @@ def link_households(left: DataFrame, right: DataFrame) -> DataFrame:
     """``(hh_id_l, hh_id_r, hkey)``: every household pair any key links, with its lowest key."""
     left, right = with_people(left, "left"), with_people(right, "right")
     blocks = {block: [BY_NUMBER[n] for n in numbers] for block, numbers in BLOCKS.items()}
-    linked = block_keys(left, right, blocks, HH_PAIR, "hkey", hot=hot_in(left, right, blocks))
+    linked = block_keys(left, right, blocks, HH_PAIR, "hkey", hot=hot_blocks(left, right, list(blocks)))
     return best_key(reduce(DataFrame.unionByName, linked), "hkey", HH_PAIR)
 
 

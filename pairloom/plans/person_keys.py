@@ -10,10 +10,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.similarity import contained_name, jaro_above, lev_above, lev_within
-from pairloom.operators.blocks import hot_part, same
+from pairloom.operators.blocks import hot_blocks, hot_part, same
 from pairloom.operators.columns import SUFFIX, count_by
-from pairloom.operators.keys import Key, Route, block_keys, hot_in, route_pairs, single_key
+from pairloom.operators.keys import Key, Route, block_keys, lowest_key, route_pairs, single_key
 from pairloom.operators.pairs import PAIR, best_key
+from pairloom.session import checkpoint_dir
 
 CARRIED = [
     "id", "fullname_ns", "fullname", "fn", "fn1", "fn1_nickname", "fn2", "sn", "sn1", "res_fn1", "res_sn1",
@@ -159,15 +160,16 @@ MOVES_KEY = 28
 ALT_KEY = 34
 ALT_BLOCK = ("dob", "sex", "place")
 
-# Blocks of the joint run.  A route is met in a block whose columns it contains; equal names imply equal
-# initials, so the last block serves the keys that ask for equal names wherever the person lives.
+# Blocks of the joint run.  A route is met in a block whose columns it contains.
 BLOCKS: dict[Route, tuple[int, ...]] = {
     ("pc", "dob"): (1, 3, 4, 5, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 33),
     ("uprn", "dob"): (2, 7, 16, 17, 18, 19, 27),
     ("pc", "sex"): (20, 21, 22, 26, 32),
     ("uprn", "sex"): (6, 23, 24, 25, 35),
-    ("dob", "sex", "fn_initial", "sn_initial"): (29, 30, 31),
 }
+# Equal names imply equal initials: this block serves the keys that ask for equal names wherever a person lives.
+NAMES_BLOCK = ("dob", "sex", "fn_initial", "sn_initial")
+NAMES_KEYS = (29, 30, 31)
 INITIALS = frozenset({"fn_initial", "sn_initial"})
 
 
@@ -183,26 +185,30 @@ def key_pairs(left: DataFrame, right: DataFrame, number: int) -> DataFrame:
     return single_key(left, right, key, PAIR)
 
 
+HOUSE_MOVE = ["pc_l", "pc_r", "house_no_l", "house_no_r"]
+UPRN_MOVE = ["uprn_l", "uprn_r"]
+
+
 def moved_together(pairs: DataFrame) -> DataFrame:
     """Pairs whose two addresses are shared by another pair, each person met once only.
 
     Counts are aggregates joined back: an address pair shared by very many pairs
-    is counted where its rows are, not gathered in one task.
+    is counted where its rows are, not gathered in one task.  A pair met twice
+    (two nicknames) counts twice, so it is not unique for either person.
     """
-    house_move = ["pc_l", "pc_r", "house_no_l", "house_no_r"]
-    uprn_move = ["uprn_l", "uprn_r"]
-    narrow = pairs.select(*PAIR, *house_move, *uprn_move)
+    narrow = pairs.select(*PAIR, *HOUSE_MOVE, *UPRN_MOVE)
 
-    def repeated(columns: list[str], known: list[str]) -> DataFrame:
-        moves = count_by(narrow.dropna(subset=known), *columns).filter("n > 1").drop("n")
-        renamed = moves.select([F.col(c).alias(f"m_{c}") for c in columns])
+    def repeated(columns: list[str], known: list[str], flag: str) -> DataFrame:
+        moves = count_by(narrow.dropna(subset=known), *columns).filter("n > 1")
+        return moves.select(*[F.col(c).alias(f"{flag}_{c}") for c in columns], F.lit(True).alias(flag))
+
+    def matching(columns: list[str], flag: str) -> Column:
         # a missing house number is a value here: two such moves count as alike
-        match = reduce(lambda a, b: a & b, [F.equal_null(F.col(c), F.col(f"m_{c}")) for c in columns])
-        return narrow.join(renamed, match, "left_semi").select(*PAIR)
+        return reduce(lambda a, b: a & b, [F.equal_null(F.col(c), F.col(f"{flag}_{c}")) for c in columns])
 
-    # a pair met twice (two nicknames) counts twice, so it is not unique for either person
-    several = repeated(house_move, ["pc_l", "pc_r"]).union(repeated(uprn_move, uprn_move)).distinct()
-    met = narrow.join(several, PAIR, "left_semi")
+    flagged = narrow.join(repeated(HOUSE_MOVE, ["pc_l", "pc_r"], "house"), matching(HOUSE_MOVE, "house"), "left")
+    flagged = flagged.join(repeated(UPRN_MOVE, UPRN_MOVE, "address"), matching(UPRN_MOVE, "address"), "left")
+    met = flagged.filter(F.col("house") | F.col("address")).select(*PAIR)
     once_left = met.groupBy("id_l").agg(F.count(F.lit(1)).alias("n"), F.min("id_r").alias("id_r")).filter("n = 1")
     once_right = met.groupBy("id_r").agg(F.count(F.lit(1)).alias("n"), F.min("id_l").alias("id_l")).filter("n = 1")
     return once_left.select(*PAIR).join(once_right.select(*PAIR), PAIR, "inner")
@@ -213,16 +219,18 @@ def link_people(left: DataFrame, right: DataFrame) -> DataFrame:
     """``(id_l, id_r, mkey)``: every pair any key links, with its lowest key."""
     left, right = keyed(left, "left"), keyed(right, "right")
     blocks = {block: [BY_NUMBER[n] for n in numbers] for block, numbers in BLOCKS.items()}
-    hot = hot_in(left, right, blocks)
-    linked = block_keys(left, right, blocks, PAIR, "mkey", INITIALS, hot)
+    hot = hot_blocks(left, right, [*blocks, NAMES_BLOCK])
+    linked = block_keys(left, right, blocks, PAIR, "mkey", hot)
 
-    by_place = {ALT_BLOCK: [BY_NUMBER[ALT_KEY]]}
     left_places, right_places = with_places(left, "left"), with_places(right, "right")
-    linked += block_keys(left_places, right_places, by_place, PAIR, "mkey")
-
-    moves = BY_NUMBER[MOVES_KEY]
-    same_names = route_pairs(left, right, moves.routes[0], moves.rule(), hot_part(hot, list(blocks).index(moves.routes[0])))
-    linked.append(moved_together(same_names).select(*PAIR, F.lit(MOVES_KEY).alias("mkey")))
+    linked += block_keys(left_places, right_places, {ALT_BLOCK: [BY_NUMBER[ALT_KEY]]}, PAIR, "mkey")
+
+    # people of equal names, sex and birth date serve four keys, one of which looks at them as a whole
+    checkpoint_dir(left.sparkSession)
+    namesakes = route_pairs(left, right, NAMES_BLOCK, both_names(), hot_part(hot, len(blocks))).checkpoint()
+    lowest, any_key = lowest_key(NAMES_BLOCK, [BY_NUMBER[n] for n in NAMES_KEYS], INITIALS)
+    linked.append(namesakes.filter(any_key).select(*PAIR, lowest.alias("mkey")))
+    linked.append(moved_together(namesakes).select(*PAIR, F.lit(MOVES_KEY).alias("mkey")))
     return best_key(reduce(DataFrame.unionByName, linked))
 
 
