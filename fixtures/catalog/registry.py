@@ -119,3 +119,6 @@ def joined(df: DataFrame, *arrays: str) -> DataFrame:
 
 def text_of(*arrays: str, prefix: str = "") -> str:
     return ", ".join(f"array_to_string({prefix}{a}, '|') AS {a}" for a in arrays)
+
+
+STAGES = tuple(_BUILD)

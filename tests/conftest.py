@@ -15,7 +15,7 @@ TABLES = ("customer", "orders", "documents", "conversations")
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("4", partitions=4, app="tests")
+    return local_session("8", partitions=4, app="tests")
 
 
 @pytest.fixture(scope="session")
