@@ -27,29 +27,31 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.union(low.select("a", F.col("low").alias("b"))).filter("a <> b").distinct()
 
 
-def _fingerprint(edges: DataFrame):
-    """A number that changes when the edge set does."""
-    return tuple(
-        edges.agg(
-            F.count(F.lit(1)),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
-            F.sum(F.xxhash64("b", "a").cast("decimal(38,0)")),
-        ).first()
-    )
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every vertex has one edge down at most, and none that has is reached itself.
+
+    One aggregate over the vertices; a hub's edges are summed where they are.
+    """
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("a").alias("vertex"), F.lit(1).cast("long").alias("down"), F.lit(0).cast("long").alias("up")),
+        F.struct(F.col("b").alias("vertex"), F.lit(0).cast("long").alias("down"), F.lit(1).cast("long").alias("up")),
+    )).alias("end")).select("end.*")
+    degrees = ends.groupBy("vertex").agg(F.sum("down").alias("down"), F.sum("up").alias("up"))
+    return degrees.filter("down > 1 OR (down > 0 AND up > 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``(vertex, component)`` for edges ``(a, b)``; a component is named by its least vertex.
 
-    Every round is checkpointed to the shared folder, so a lost executor costs
-    one round, not the whole chain.  Stops when a round changes nothing: then
-    every edge leads from a vertex straight to its component's least one.
+    Edges lead from the greater to the lesser vertex.  Every round is
+    checkpointed to the shared folder, so a lost executor costs one round, not
+    the whole chain.  Once all components are stars their centres are their
+    least vertices, and no further round can change them.
     """
     checkpoint_dir(edges.sparkSession)
-    current = edges.select("a", "b").filter("a <> b").distinct().checkpoint()
-    before = None
-    while (now := _fingerprint(current)) != before:
-        before = now
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = down.filter("a <> b").distinct().checkpoint()
+    while not _all_stars(current):
         current = _star(_star(current, large=True), large=False).checkpoint()
     stars = current.select(F.col("a").alias("vertex"), F.col("b").alias("component"))
     return stars.union(stars.select(F.col("component"), F.col("component")).distinct())
