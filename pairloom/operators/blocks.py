@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.operators.columns import SUFFIX
 
-CELL_ROWS = 10_000  # rows of a side per cell
+CELL_ROWS = 2_000  # rows of a side per cell: some millions of comparisons per task
 MAX_HOT_BLOCKS = 50_000  # rows of the hot list that may be broadcast
 
 

@@ -235,3 +235,11 @@ def test_whole_run_equals_the_stages(spark, sf, tmp_path):
 def test_digits_of_blank_text(spark):
     got = spark.createDataFrame([("",), ("a1b2",)], "x string").select(missing.digits_int(F.col("x")).alias("n")).collect()
     assert [r["n"] for r in got] == [None, 12]
+
+
+def test_dates_one_edit_apart_equals_the_distance(spark):
+    dates = ["1990-01-02", "1990-01-12", "1990-11-02", "2990-01-02", "1991-01-02", "1990-02-01", "190-01-02", "--", "-", "19XX-01-02"]
+    a = spark.createDataFrame([(d,) for d in dates], "dob_l string")
+    pairs = a.crossJoin(a.select(F.col("dob_l").alias("dob_r")))
+    wrong = pairs.filter(pk.dates_one_edit_apart() != (F.levenshtein("dob_l", "dob_r") < 2))
+    assert pairs.count() == 100 and wrong.count() == 0
