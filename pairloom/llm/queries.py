@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm import fingerprints
+from pairloom.llm import fingerprints, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op1_fingerprints")
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
