@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import fingerprints, packing
+from pairloom.llm import fingerprints, language, packing, samples
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,13 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    test = samples.held_out(5, 0)
+    found = language.prediction(docs, language.fit(docs, ~test))
+    return docs.select("doc_id", test.alias("held_out"), found.alias("found")).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
+    )
