@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pairloom.llm import fingerprints, language, packing, samples
+from pairloom.llm import fingerprints, language, packing, quality, samples, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,19 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", test.alias("held_out"), found.alias("found")).select(
         "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
     )
+
+
+def _scored(spark: SparkSession, sf_dir: str, operator, test: Column, accepted: float) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = docs.select("doc_id", test.alias("held_out"), operator.score(docs, operator.fit(docs, labels, ~test)).alias("score"))
+    return found.select("*", F.when(F.col("score") >= accepted, 1).otherwise(0).alias("predicted"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, toxicity, samples.held_out(5, 0), 0.5)
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, quality, samples.held_out(4, 2), quality.ACCEPTED)

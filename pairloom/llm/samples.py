@@ -18,14 +18,16 @@ def held_out(folds: int, fold: int, id_col: str = "doc_id") -> Column:
 MAX_SENT_LABELS = 10_000
 
 
-def sample(rows: DataFrame, label_col: str, per_label: int, id_col: str = "doc_id") -> DataFrame:
-    """About ``per_label`` rows of each label, chosen by the hash of the id; fewer if there are no more.
+def sample(rows: DataFrame, label_col: str, per_label: Column | int, id_col: str = "doc_id") -> DataFrame:
+    """About ``per_label`` rows (a number, or a column made from the label) of each label, chosen by the hash of the id; fewer if there are no more.
 
     The number is kept by a threshold on the hash that follows from the count
     of the label, so no task sorts or gathers the rows of a label.  Rows with
     one id are chosen together.
     """
-    share = rows.groupBy(F.col(label_col).alias("_of")).agg((F.lit(per_label) / F.count(F.lit(1))).alias("_share"))
+    wanted = per_label if isinstance(per_label, Column) else F.lit(per_label)
+    counts = rows.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.select(F.col(label_col).alias("_of"), (wanted / F.col("_n")).alias("_share"))
     few = share.limit(MAX_SENT_LABELS + 1).collect()
     if len(few) <= MAX_SENT_LABELS:
         share = F.broadcast(rows.sparkSession.createDataFrame(few, share.schema))
@@ -33,13 +35,13 @@ def sample(rows: DataFrame, label_col: str, per_label: int, id_col: str = "doc_i
     return rows.join(share, F.col(label_col) == F.col("_of")).filter(draw < F.col("_share")).select(*rows.columns)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label_col: str, trainable: Column, per_label: int) -> DataFrame:
-    """``(doc_id, text, label)`` of a bounded sample of labelled documents; rows repeated for one id count as their greatest label."""
+def labelled(docs: DataFrame, labels: DataFrame, label_col: str, trainable: Column, per_label: tuple[int, int]) -> DataFrame:
+    """``(doc_id, text, label)`` of a bounded sample of documents labelled 0 and 1; rows repeated for one id count as their greatest label."""
     known = (
         labels.filter(trainable & F.col(label_col).isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     )
     # of bounded size, so it may be sent to the documents
-    chosen = F.broadcast(sample(known, "label", per_label))
+    chosen = F.broadcast(sample(known, "label", F.when(F.col("label") > 0, per_label[1]).otherwise(per_label[0])))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return texts.join(chosen, "doc_id").dropDuplicates(["doc_id"])
