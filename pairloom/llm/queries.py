@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pairloom.llm import fingerprints, language, packing, quality, samples, toxicity
+from pairloom.llm import fingerprints, jaccard_join, language, packing, quality, samples, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality")
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, quality, samples.held_out(4, 2), quality.ACCEPTED)
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
