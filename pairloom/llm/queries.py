@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pairloom.llm import fingerprints, jaccard_join, language, packing, quality, samples, toxicity
+from pairloom.llm import bpe, fingerprints, jaccard_join, language, packing, quality, samples, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,14 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_jaccard_join")
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    found = bpe.encode(table(spark, sf_dir, "documents"), *ranks).withColumn("decoded", bpe.decode(F.col("ids"), *ranks))
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -88,12 +88,12 @@ def shingle_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]
     return mix(total[whole]), np.bincount(of[whole], minlength=len(counts))
 
 
-def chunks(texts: Sequence[str | None]) -> Iterator[slice]:
-    """Runs of texts of at most CHUNK_CHARS characters, or one longer text."""
+def chunks(texts: Sequence[str | None], chars: int = CHUNK_CHARS) -> Iterator[slice]:
+    """Runs of texts of at most ``chars`` characters, or one longer text."""
     start, size = 0, 0
     for i, text in enumerate(texts):
         n = len(text or "")
-        if size and size + n > CHUNK_CHARS:
+        if size and size + n > chars:
             yield slice(start, i)
             start, size = i, 0
         size += n
