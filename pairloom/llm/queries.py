@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, fingerprints, forest, jaccard_join, language, packing, quality, samples, toxicity
+from pairloom.llm import bpe, fingerprints, forest, jaccard_join, language, licenses, packing, quality, samples, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,8 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_hash_forest")
 def op4_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
