@@ -110,7 +110,7 @@ SENTENCES = (
     ("bsd", 90, "redistribution", "redistribution and use in source and binary forms with or without modification"),
     ("bsd-3-clause", 92, "endorse", "may be used to endorse or promote products derived from this software"),
     ("isc", 88, "permission", "permission to use copy modify and or distribute this software for any purpose"),
-    ("apache-2", 92, "apache", "you may not use this file except in compliance with the licen[sc]e"),
+    ("apache-2", 92, "compliance", "you may not use this file except in compliance with the licen[sc]e"),
     ("gpl", 90, "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e"),
     ("lgpl", 92, "redistribute", "you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e"),
     ("agpl", 92, "redistribute", "you can redistribute it and or modify it under the terms of the gnu affero general public licen[sc]e"),
