@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, fingerprints, forest, jaccard_join, language, licenses, packing, quality, samples, toxicity
+from pairloom.llm import bpe, fingerprints, forest, jaccard_join, language, licenses, packing, pii, quality, samples, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,8 @@ def op4_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_license_scan")
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(table(spark, sf_dir, "documents"))
