@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fixtures import clean_sql as cs, key_sql as ks
 from fixtures.catalog.registry import households, joined, people, plain, query, raw, rounded, table, text_of
 from pairloom.functions import address as ad, geography as geo, names as nm, sets as st, similarity as sim
-from pairloom.operators.blocks import block_join
+from pairloom.operators.blocks import celled_join
 from pairloom.plans import person_keys as pk, scoring
 from pairloom.plans.people import standardise, with_nickname
 from pairloom.config import FLOOR_TERMS, SET_DUMMY
@@ -94,7 +94,7 @@ def _household_measure(name: str, measure, sql: str, digits: int | None = None):
 
     @query(name, f"SELECT l.hh_id AS hh_id_l, r.hh_id AS hh_id_r, {value} AS measure FROM lh l JOIN rh r ON l.pc = r.pc")
     def run(spark, sf):
-        pairs = block_join(*households(spark, sf), ("pc",))
+        pairs = celled_join(*households(spark, sf), ("pc",))
         m = F.round(measure().cast("double"), digits) if digits else measure().cast("int")
         return pairs.select("hh_id_l", "hh_id_r", m.alias("measure"))
 

@@ -31,8 +31,7 @@ for _n, (_right, _left) in _PASSES.items():
 
     @query(f"b{_n:02d}_blocking_pass", f"SELECT DISTINCT l.id AS id_l, r.id AS id_r FROM l JOIN r ON r.{_right} = l.{_left}")
     def one_pass(spark, sf, right_pc=_right, left_pc=_left):
-        left, right = people(spark, sf)
-        return left.join(right, F.col(f"{right_pc}_r") == F.col(f"{left_pc}_l")).select(*PAIR).distinct()
+        return scoring.one_pass(*people(spark, sf), left_pc, right_pc)
 
 
 @query("b_all_blocking", "SELECT id_l, id_r FROM candidates")
@@ -64,10 +63,22 @@ def a04_exact(spark, sf):
 @query("r05_weights", "SELECT " + ", ".join(
     f"round({v}_aw, 6) AS {v}_agreement_weight, round({v}_dw, 6) AS {v}_disagreement_weight" for v in VARS) + " FROM weights")
 def r05(spark, sf):
-    row = mu.weight_row(stage(spark, sf, "m_values"), stage(spark, sf, "u_values"))
+    row = mu.weight_row(stage(spark, sf, "m_values"), stage(spark, sf, "u_values"), least=scoring.LEAST_SHARE)
     return rounded(row, *row.columns)
 
 
+@query("a04_zero_u", "SELECT count(*) AS pairs, CAST(count(*) FILTER (WHERE l.dob = r.dob) AS BIGINT) AS same_dob, "
+       "CAST(count(*) AS BIGINT) AS with_score FROM candidates c JOIN (SELECT DISTINCT id, dob FROM l) l ON l.id = c.id_l "
+       "JOIN (SELECT DISTINCT id, dob FROM r) r ON r.id = c.id_r")
+def a04_zero_u(spark, sf):
+    """Pairs with a score when chance never made two birth dates agree: all of them."""
+    u = stage(spark, sf, "u_values").select("variable", F.when(F.col("variable") == "dob", 0.0).otherwise(F.col("u_value")).alias("u_value"))
+    scores = scoring.score_people(*people(spark, sf), stage(spark, sf, "m_values"), u)
+    return scores.agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("dob_l") == F.col("dob_r")).alias("same_dob"), F.count("match_score").alias("with_score")
+    )
+
+
 # -------------------------------------------------------------------------------- scores
 def _agreements(spark, sf):
     return scoring.with_agreements(scoring.candidates(*people(spark, sf)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-# --- fixed values: names, areas ------------------------------------------------
+# --- fixed values: names, areas; also the column names and missing codes of the raw tables below ------------------------------------------------
 FIRST_NAMES = (
     "CHARLES,JOHN,DAVID,ELIZABETH,STEPHEN,ROBERT,MARGARET,KATHERINE,ANDREW,WILLIAM,CATRIONA,THOMAS,"
     "SUSAN,DANIEL,REBECCA,JOSEPH,PATRICIA,EDWARD,VICTORIA,MICHAEL,ALEXANDRA,GEORGE,DOROTHY"
@@ -56,22 +56,35 @@ _cte("k3", """
 SELECT k2.*, CAST(floor(hh / 3) AS INT) AS hg FROM k2
 """)
 
+# names get new endings and postcodes new areas as the files grow, so blocks stay as small as they are
+_cte("k4", f"""
+SELECT k3.*,
+       CASE WHEN hh < 1200 THEN '' ELSE concat(
+         substr('BDFGKLMNPRST', 1 + CAST(floor(hh / 1200) AS INT) % 12, 1), substr('AEIOU', 1 + CAST(floor(hh / 14400) AS INT) % 5, 1),
+         substr('LMNRTXBDGKPS', 1 + CAST(floor(hh / 72000) AS INT) % 12, 1)) END AS ending,
+       CASE WHEN st < 14400 THEN split_part('{AREAS}', ',', 1 + CAST(floor(st / 200) AS INT) % 8)
+            ELSE concat(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', 1 + CAST(floor(st / 14400) AS INT) % 26, 1),
+                        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', 1 + CAST(floor(st / 374400) AS INT) % 26, 1)) END AS area
+FROM k3
+""")
+
 _cte("base", f"""
 SELECT k, v, g, st, hh, hg, ce,
        CASE WHEN hg % 13 = 12 THEN 1 ELSE 0 END AS mv,
        CASE WHEN hg % 13 = 6 THEN 1 ELSE 0 END AS rm,
        split_part('{FIRST_NAMES}', ',', 1 + k % 23) AS fn,
        split_part('{NICKNAMES}', ',', 1 + k % 23) AS nn,
-       split_part('{MIDDLE_NAMES}', ',', 1 + CAST(floor(k / 23) AS INT) % 11) AS mn,
-       split_part('{SURNAMES}', ',', 1 + (g * 7) % 29) AS sn,
-       1940 + (k * 37) % 70 AS yr, 1 + (k * 5) % 12 AS mo, 1 + (k * 11) % 28 AS dy, 1 + k % 2 AS sx,
-       split_part('{AREAS}', ',', 1 + CAST(floor(st / 200) AS INT) % 8) AS area,
-       concat(split_part('{AREAS}', ',', 1 + CAST(floor(st / 200) AS INT) % 8),
-              CAST(10 + CAST(floor(st / 9) AS INT) % 80 AS STRING), ' ', CAST(1 + st % 9 AS STRING),
+       concat(split_part('{MIDDLE_NAMES}', ',', 1 + CAST(floor(k / 23) AS INT) % 11), ending) AS mn,
+       concat(split_part('{SURNAMES}', ',', 1 + (g * 7) % 29), ending) AS sn,
+       1940 + (k * 37 + 3 * CAST(floor(k / 420) AS INT)) % 70 AS yr, 1 + (k * 5 + CAST(floor(k / 420) AS INT)) % 12 AS mo,
+       1 + (k * 11 + CAST(floor(k / 420) AS INT)) % 28 AS dy, 1 + k % 2 AS sx, area,
+       -- placeholder postcodes: some hundred households share one
+       concat(CAST(1 + CAST(floor(hh / 900) AS INT) % 99 AS STRING), ' ', CAST(1 + CAST(floor(hh / 89100) AS INT) % 9 AS STRING)) AS dz,
+       concat(area, CAST(10 + CAST(floor(st / 9) AS INT) % 80 AS STRING), ' ', CAST(1 + st % 9 AS STRING),
               substr('ABDEFGHJLN', 1 + st % 10, 1),
               substr('PQRSTUWXYZ', 1 + CAST(floor(st / 10) AS INT) % 10, 1)) AS pc,
        1 + hh % 12 AS hn, 100000 + hh AS up, CASE WHEN hh % 2 = 0 THEN 1 + hh % 6 ELSE 0 END AS fl
-FROM k3
+FROM k4
 """)
 
 # ------------------------------------------------------------------ left file
@@ -98,9 +111,10 @@ SELECT concat('L', CAST(k AS STRING)) AS resident_id,
        CASE WHEN k % 13 = 0 THEN '-8' ELSE CAST(1 + k % 19 AS STRING) END AS ethnic19,
        CASE WHEN k % 410 = 34 THEN concat('Unit 3, ', CAST(hn AS STRING), ' Alt Road, Town') ELSE '-9' END
          AS alternative_address,
-       CASE WHEN k % 410 = 34 THEN 'XX1 1XX' WHEN k % 410 = 35 THEN '' ELSE '-9' END AS alternative_address_postcode,
+       CASE WHEN k % 410 = 34 THEN concat('XX', dz, 'XX') WHEN k % 410 = 75 THEN concat('AL', dz, 'TT')
+            WHEN rm = 1 AND k % 20 = 7 THEN pc WHEN k % 410 = 35 THEN '' ELSE '-9' END AS alternative_address_postcode,
        CASE WHEN k % 410 = 34 THEN CAST(500000 + hh AS STRING) ELSE '-8' END AS alternative_address_uprn,
-       CASE WHEN mv = 1 THEN 'ze9 9zz' ELSE '-9' END AS one_year_ago_postcode,
+       CASE WHEN mv = 1 THEN lower(concat('ZE', dz, 'ZZ')) ELSE '-9' END AS one_year_ago_postcode,
        CASE WHEN k % 59 IN (7, 8, 9) THEN '1' WHEN k % 59 = 10 THEN '-9' ELSE '2' END AS in_full_time_education,
        CASE WHEN k % 59 = 7 THEN '2' WHEN k % 59 = 8 THEN '3' WHEN k % 59 = 9 THEN '1' ELSE '-8' END
          AS is_hh_term_time_address,
@@ -190,7 +204,7 @@ SELECT rid AS resident_id,
        CASE WHEN k % 13 = 0 THEN '-8' ELSE concat(CAST(1 + k % 19 AS STRING), ' ') END AS ethnic19,
        CASE WHEN v = 34 THEN concat('Apartment 4, ', CAST(hn AS STRING), ' Alt Road, Town') ELSE '-9' END
          AS alternative_address,
-       CASE WHEN v = 34 THEN pc ELSE '-9' END AS alternative_address_postcode,
+       CASE WHEN k % 410 = 75 THEN concat('AL', dz, 'TT') WHEN v = 34 THEN pc ELSE '-9' END AS alternative_address_postcode,
        CASE WHEN v = 34 THEN CAST(up AS STRING) ELSE '-9' END AS alternative_address_uprn,
        CASE WHEN k % 59 IN (7, 8, 9) THEN '1' ELSE '2' END AS in_full_time_education,
        CASE WHEN k % 59 = 7 THEN '2' WHEN k % 59 = 8 THEN '3' ELSE '1' END AS is_hh_term_time_address,
@@ -200,10 +214,10 @@ FROM right_keys
 
 _cte("right_places", """
 SELECT base.*,
-       CASE WHEN ce = 1 THEN 'CF10 1AA' WHEN mv = 1 THEN 'ZE9 9ZZ' WHEN rm = 1 THEN 'ZZ7 7ZZ'
-            WHEN v IN (1, 24, 25) THEN 'YY1 1YY' WHEN v = 29 THEN concat(substr(pc, 1, length(pc) - 1), 'V')
+       CASE WHEN ce = 1 THEN 'CF10 1AA' WHEN mv = 1 THEN concat('ZE', dz, 'ZZ') WHEN rm = 1 THEN concat('ZZ', dz, 'ZZ')
+            WHEN v IN (1, 24, 25) THEN concat('YY', dz, 'YY') WHEN v = 29 THEN concat(substr(pc, 1, length(pc) - 1), 'V')
             WHEN v = 30 THEN concat(substr(pc, 1, length(pc) - 2), 'VV') WHEN v = 31 THEN concat(area, '99 9VV')
-            WHEN v = 34 THEN 'XX1 1XX' ELSE pc END AS right_pc,
+            WHEN v = 34 THEN concat('XX', dz, 'XX') ELSE pc END AS right_pc,
        CASE WHEN mv = 1 THEN hh % 90 ELSE hn END AS right_hn,
        CASE WHEN ce = 1 THEN '700001' WHEN mv = 1 THEN CAST(900000 + hh AS STRING)
             WHEN rm = 1 THEN CAST(950000 + hh AS STRING)
@@ -232,7 +246,7 @@ SELECT DISTINCT concat('RH', CAST(hh AS STRING)) AS qid,
        concat(CAST(hn AS STRING), ' Station Road') AS display_address,
        CASE WHEN hg % 11 <> 5 AND fl > 0 THEN concat('Apartment ', CAST(fl AS STRING), ', ', CAST(hn AS STRING), ' Park Road, Town')
             WHEN hh % 10 = 3 THEN '-8' ELSE concat(CAST(hn AS STRING), ' High Street, Town') END AS address,
-       CASE WHEN rm = 1 THEN 'ZZ7 7ZZ' WHEN hg % 17 = 3 THEN concat(substr(pc, 1, length(pc) - 2), 'VV') ELSE pc END
+       CASE WHEN rm = 1 THEN concat('ZZ', dz, 'ZZ') WHEN hg % 17 = 3 THEN concat(substr(pc, 1, length(pc) - 2), 'VV') ELSE pc END
          AS address_postcode,
        CASE WHEN rm = 1 THEN CAST(950000 + hh AS STRING)
             WHEN hg % 3 = 1 OR hg % 17 = 3 THEN concat('8', CAST(up AS STRING)) ELSE CAST(up AS STRING) END AS uprn
@@ -320,15 +334,9 @@ def needed_for(text: str, ctes: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return kept[::-1]
 
 
-def _spread(df):
-    """Rows over all cores where a table is one small file; a table of many splits stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def spark_raw(spark, sf_dir: str, table: str):
     """One raw table as a DataFrame over the driver's ``customer`` Parquet file."""
-    customer = _spread(spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey"))
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
     query = f"SELECT * FROM {table}"
     ctes = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in needed_for(query, _CTES))
     return spark.sql(f"WITH {ctes} {query}", customer=customer)

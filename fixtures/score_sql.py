@@ -50,7 +50,7 @@ EXACT_U = "\nUNION ALL\n".join(
 
 
 def _value(variable, column):
-    return f"max({column}) FILTER (WHERE variable = '{variable}')"
+    return f"least(greatest(max({column}) FILTER (WHERE variable = '{variable}'), 1e-9::DOUBLE), 1 - 1e-9::DOUBLE)"
 
 
 def _log_ratio(a, b):

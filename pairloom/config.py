@@ -22,7 +22,7 @@ CODES_TO_BLANK = {
     "age": ("-9",),
     "age_last_birthday": ("-9", "-8", "-5", "-4"),
 }
-NO_HOUSEHOLD = "-9"
+NO_HOUSEHOLD = ("-9", "-8", "")
 NO_ADDRESS_GIVEN = "-8"
 
 # --- dummies: a missing left value never equals a missing right value --------------

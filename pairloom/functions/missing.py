@@ -41,10 +41,6 @@ def as_int(c: Column) -> Column:
     return c.try_cast("int")
 
 
-def first_known(*columns: Column) -> Column:
-    return F.coalesce(*columns)
-
-
 def set_or_dummy(values: Column, dummy: Column) -> Column:
     """A one-element dummy array where a household has no people."""
     return F.coalesce(values, F.array(dummy))

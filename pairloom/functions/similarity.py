@@ -90,7 +90,7 @@ def _jaro_winkler_at_best(a: str, b: str) -> str:
 
 def jaro_above_sql(a: str, b: str, threshold: float) -> str:
     possible = f"{_jaro_winkler_at_best(a, b)} > {threshold - 1e-6}D"
-    return f"({a} = {b} OR ({possible} AND {jaro_winkler_sql(a, b)} > {threshold}D))"
+    return f"(({a} = {b} AND {a} <> '') OR ({possible} AND {jaro_winkler_sql(a, b)} > {threshold}D))"
 
 
 def jaro_winkler(a: str, b: str) -> Column:

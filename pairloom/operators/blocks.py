@@ -17,9 +17,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.operators.columns import SUFFIX
+from pairloom.session import checkpoint_dir
 
 CELL_ROWS = 2_000  # rows of a side per cell: some millions of comparisons per task
-MAX_HOT_BLOCKS = 50_000  # rows of the hot list that may be broadcast
+MAX_HOT_BLOCKS = 50_000  # rows of the hot list, which is broadcast: under 2 MB
 
 
 def same(*columns: str) -> Column:
@@ -46,13 +47,16 @@ def _block_keys(df: DataFrame, side: str, blocks: Sequence[Sequence[str]]) -> Da
     return df.select(F.explode(F.array_compact(F.array(*keys))).alias("key")).select("key.*")
 
 
-def hot_blocks(left: DataFrame, right: DataFrame, blocks: Sequence[Sequence[str]], cell_rows: int = CELL_ROWS):
+def hot_blocks(left: DataFrame, right: DataFrame, blocks: Sequence[Sequence[str]], cell_rows: int | None = None):
     """Blocks with more than ``cell_rows`` squared pairs, and how to split them.
 
     Returns ``(block, key_hash, splits_l, splits_r)`` or None if there are none,
-    after one aggregate over the blocking columns of all ``blocks``.  Two blocks
-    with one hash only share a split.
+    after one aggregate over the blocking columns of all ``blocks``, whose small
+    result is checkpointed: joins read it and never count again.  Beyond
+    ``MAX_HOT_BLOCKS`` the least of them stay whole; that loses no pair.  Two
+    blocks with one hash only share a split.
     """
+    cell_rows = cell_rows or CELL_ROWS
     sizes = [
         _block_keys(df, side, blocks).select(
             "block", "key_hash", *[F.lit(1 if s == side else 0).cast("long").alias(f"n{SUFFIX[s]}") for s in SUFFIX]
@@ -61,19 +65,19 @@ def hot_blocks(left: DataFrame, right: DataFrame, blocks: Sequence[Sequence[str]
     ]
     total = sizes[0].unionByName(sizes[1]).groupBy("block", "key_hash")
     total = total.agg(F.sum("n_l").alias("n_l"), F.sum("n_r").alias("n_r"))
-    hot = total.filter(F.col("n_l").cast("double") * F.col("n_r") > float(cell_rows) ** 2).select(
+    compared = F.col("n_l").cast("double") * F.col("n_r")
+    hot = total.filter(compared > float(cell_rows) ** 2).orderBy(compared.desc(), "block", "key_hash").limit(MAX_HOT_BLOCKS)
+    checkpoint_dir(left.sparkSession)
+    hot = hot.select(
         "block", "key_hash",
         *[F.ceil(F.col(f"n{s}") / cell_rows).cast("int").alias(f"splits{s}") for s in SUFFIX.values()],
-    )
-    found = hot.limit(MAX_HOT_BLOCKS + 1).count()
-    if found == 0:
-        return None
-    return F.broadcast(hot) if found <= MAX_HOT_BLOCKS else hot
+    ).checkpoint()
+    return None if hot.isEmpty() else hot
 
 
 def _in_cells(df: DataFrame, side: str, on: Sequence[str], hot: DataFrame) -> DataFrame:
     own, other = ("_l", "_r") if side == "left" else ("_r", "_l")
-    cut = df.withColumn("key_hash", _key_hash(on, side)).join(hot, "key_hash", "left")
+    cut = df.withColumn("key_hash", _key_hash(on, side)).join(F.broadcast(hot), "key_hash", "left")
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     one = F.lit(1)
     return cut.select(
@@ -106,3 +110,8 @@ def block_join(
 def hot_part(hot: DataFrame | None, number: int) -> DataFrame | None:
     """The hot list of one of several blocks."""
     return None if hot is None else hot.filter(F.col("block") == number).drop("block")
+
+
+def celled_join(left: DataFrame, right: DataFrame, on: Sequence[str], where: Column | None = None) -> DataFrame:
+    """``block_join`` on one block that measures its own hot blocks."""
+    return block_join(left, right, on, where, hot_part(hot_blocks(left, right, [on]), 0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pairloom.operators.numbering import numbered, shuffled_order
-from pairloom.session import checkpoint_dir
+from pairloom.session import discard, scratch_path
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -43,16 +43,24 @@ def _all_stars(edges: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """``(vertex, component)`` for edges ``(a, b)``; a component is named by its least vertex.
 
-    Edges lead from the greater to the lesser vertex.  Every round is
-    checkpointed to the shared folder, so a lost executor costs one round, not
-    the whole chain.  Once all components are stars their centres are their
-    least vertices, and no further round can change them.
+    Edges lead from the greater to the lesser vertex.  Every round is stored in
+    the shared folder, so a lost executor costs one round, not the whole chain;
+    the round before it is deleted.  Once all components are stars their
+    centres are their least vertices, and no further round can change them.
     """
-    checkpoint_dir(edges.sparkSession)
+    spark = edges.sparkSession
+
+    def stored(df: DataFrame) -> tuple[DataFrame, str]:
+        path = scratch_path(spark, "components")
+        df.write.parquet(path)
+        return spark.read.parquet(path), path
+
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    current = down.filter("a <> b").distinct().checkpoint()
+    current, path = stored(down.filter("a <> b").distinct())
     while not _all_stars(current):
-        current = _star(_star(current, large=True), large=False).checkpoint()
+        before = path
+        current, path = stored(_star(_star(current, large=True), large=False))
+        discard(spark, before)
     stars = current.select(F.col("a").alias("vertex"), F.col("b").alias("component"))
     return stars.union(stars.select(F.col("component"), F.col("component")).distinct())
 
@@ -66,7 +74,7 @@ def cluster_number(pairs: DataFrame, id_1: str, id_2: str, name: str = "cluster_
     """
     for column in (id_1, id_2):
         if not isinstance(pairs.schema[column].dataType, T.StringType):
-            raise TypeError("ID variables must be strings")
+            raise TypeError(f"cluster numbers follow the digest of text ids, but {column} is no text")
     first, second = F.concat(F.lit("1:"), F.col(id_1)), F.concat(F.lit("2:"), F.col(id_2))
     found = components(pairs.select(first.alias("a"), second.alias("b")))
     clusters = numbered(found.select("component").distinct(), shuffled_order(F.col("component")), ["component"], name)

@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.operators.blocks import block_join, hot_part, same
+from pairloom.operators.blocks import block_join, hot_blocks, hot_part, same
 
 Route = tuple[str, ...]
 
@@ -34,15 +34,10 @@ def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def route_pairs(left: DataFrame, right: DataFrame, route: Route, rule: Column | None, hot=None) -> DataFrame:
-    """Joined rows of one route."""
-    return block_join(left, right, route, rule, hot)
-
-
 def single_key(left: DataFrame, right: DataFrame, key: Key, pair: list[str]) -> DataFrame:
     """Distinct pairs one key links."""
-    rule = key.rule() if key.rule else None
-    met = [route_pairs(left, right, route, rule).select(*pair) for route in key.routes]
+    rule, hot = key.rule() if key.rule else None, hot_blocks(left, right, key.routes)
+    met = [block_join(left, right, route, rule, hot_part(hot, n)).select(*pair) for n, route in enumerate(key.routes)]
     return reduce(DataFrame.unionByName, met).distinct()
 
 
@@ -76,7 +71,7 @@ def block_keys(
     for number, (block, keys) in enumerate(blocks.items()):
         if keys:
             lowest, any_key = lowest_key(block, keys)
-            met = route_pairs(left, right, block, any_key, hot_part(hot, number))
+            met = block_join(left, right, block, any_key, hot_part(hot, number))
             linked.append(met.select(*pair, lowest.alias(name)))
     return linked
 

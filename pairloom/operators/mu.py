@@ -94,12 +94,22 @@ def exact_u_values(left: DataFrame, right: DataFrame, variables: Sequence[str] =
     )
 
 
-def weight_row(m: DataFrame, u: DataFrame, variables: Sequence[str] = SCORE_VARIABLES) -> DataFrame:
-    """One row: per variable its m and u and the weights of agreement and disagreement."""
+def weight_row(
+    m: DataFrame, u: DataFrame, variables: Sequence[str] = SCORE_VARIABLES, least: float | None = None
+) -> DataFrame:
+    """One row: per variable its m and u and the weights of agreement and disagreement.
+
+    A share of 0 or 1, as a small sample may give, has no finite weight.  With
+    ``least`` shares are kept within ``least`` and ``1 - least``, so no pair
+    loses its score; without it such a weight is NULL, and :func:`checked` refuses it.
+    """
     both = m.join(u, "variable")
 
     def value(variable: str, column: str) -> Column:
-        return F.max(F.when(F.col("variable") == variable, F.col(column)))
+        share = F.max(F.when(F.col("variable") == variable, F.col(column)))
+        if least is None:
+            return share
+        return F.when(share.isNotNull(), F.least(F.greatest(share, F.lit(least)), F.lit(1 - least)))
 
     one = both.agg(
         *[value(v, "m_value").alias(f"{v}_m") for v in variables], *[value(v, "u_value").alias(f"{v}_u") for v in variables]
@@ -110,3 +120,12 @@ def weight_row(m: DataFrame, u: DataFrame, variables: Sequence[str] = SCORE_VARI
         weights.append(F.log2(F.try_divide(mv, uv)).alias(f"{v}_agreement_weight"))
         weights.append(F.log2(F.try_divide(1 - mv, 1 - uv)).alias(f"{v}_disagreement_weight"))
     return one.select(*weights)
+
+
+def checked(weights: DataFrame) -> DataFrame:
+    """The row of weights, or an error if one is missing: scores would silently be missing with it."""
+    def known(name: str) -> Column:
+        stop = F.raise_error(F.lit(f"no {name}: an m or u value is 0, 1 or missing; pass least to weight_row")).cast("double")
+        return F.coalesce(F.col(name), stop).alias(name)
+
+    return weights.select(*[known(c) for c in weights.columns])

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_DIGITS = 3  # leading hex digits that form a bucket: 4096 buckets
+_DIGITS = 3  # leading hex digits that form a bucket, at least: 4096 buckets
+
+
+def bucket_digits(partitions: int) -> int:
+    """Hex digits that give at least four buckets a shuffle partition."""
+    return max(_DIGITS, math.ceil(math.log(4 * partitions, 16)))
 
 
 def shuffled_order(key: Column, seed: str = "") -> Column:
@@ -17,10 +24,11 @@ def numbered(df: DataFrame, order: Column, ties: list[str], name: str) -> DataFr
 
     Digests are uniform, so their leading digits cut the rows into even,
     ordered buckets.  Rows are numbered inside their bucket and shifted by the
-    sizes of the buckets before it; that table has at most 4096 rows, which is
-    why it may be summed in one task and broadcast.
+    sizes of the buckets before it; that table has a few rows a shuffle partition
+    (4096 at least), which is why it may be summed in one task and broadcast.
     """
-    bucketed = df.withColumn("_order", order).withColumn("_bucket", F.left(F.col("_order"), F.lit(_DIGITS)))
+    digits = bucket_digits(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bucketed = df.withColumn("_order", order).withColumn("_bucket", F.left(F.col("_order"), F.lit(digits)))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_shift"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pairloom.session import staged
+
 PAIR = ["id_l", "id_r"]
 
 
@@ -19,11 +21,13 @@ def latest(decisions: DataFrame, order: str = "load_no") -> DataFrame:
 
 
 def with_id_counts(links: DataFrame) -> DataFrame:
-    """How many pairs each person of either side is in."""
-    for column in PAIR:
-        n = links.groupBy(column).agg(F.count(F.lit(1)).alias(f"{column}_count"))
-        links = links.join(n, column, "inner")
-    return links
+    """How many pairs each person of either side is in.
+
+    The pairs are read three times, so they are stored first.
+    """
+    stored = staged(links, "pairs")
+    counts = [stored.groupBy(c).agg(F.count(F.lit(1)).alias(f"{c}_count")) for c in PAIR]
+    return stored.join(counts[0], PAIR[0]).join(counts[1], PAIR[1]).select(*links.columns, *[f"{c}_count" for c in PAIR])
 
 
 def agree(a: Column, b: Column) -> Column:

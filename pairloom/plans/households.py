@@ -37,7 +37,8 @@ def person_sets(people: DataFrame, side: str) -> DataFrame:
     """Household size and the sorted distinct names, birth dates and ages of its people.
 
     The sets are aggregates, so each task sends on distinct values only, however
-    many people one household id holds.
+    many people one household id holds.  Coded and blank ids are no household:
+    else all such people would share one row.
     """
     s = SUFFIX[side]
     dummy = dummies(side)
@@ -50,7 +51,7 @@ def person_sets(people: DataFrame, side: str) -> DataFrame:
         ),
         "age_set": F.coalesce(F.col(f"age{s}"), dummy["age_set"]),
     }
-    members = people.filter(F.col(f"hh_id{s}") != NO_HOUSEHOLD).select(
+    members = people.filter(~F.trim(f"hh_id{s}").isin(*NO_HOUSEHOLD)).select(
         F.col(f"hh_id{s}").alias("hh_id"), F.col(f"id{s}").alias("id"), *[c.alias(name) for name, c in member.items()]
     )
     return members.groupBy("hh_id").agg(

@@ -103,7 +103,7 @@ def _birth(raw: DataFrame, side: str):
     age = mis.blank_to_null(mis.code_to_blank(F.col("resident_age"), CODES_TO_BLANK["age"]))
     if side == "right":
         birthday = mis.code_to_blank(F.col("resident_age_last_birthday"), CODES_TO_BLANK["age_last_birthday"])
-        age = mis.first_known(age, birthday)
+        age = F.coalesce(age, birthday)
     parts = geo.birth_parts(raw_dob, mask)
     return [c.alias(name) for name, c in parts.items()] + [mis.as_int(age).alias("age")]
 
@@ -159,7 +159,7 @@ def left_forms(forms: DataFrame) -> DataFrame:
     """Distinct address forms of the left file: address, else raw address, else display address."""
     wanted = ["response_id", "display_address", "address_raw", "address", "address_postcode", "uprn"]
     known = _known_form_fields(forms.select(*wanted).distinct())
-    address = mis.first_known(F.col("address"), F.concat("address_raw", F.lit(",")), F.col("display_address"))
+    address = F.coalesce(F.col("address"), F.concat("address_raw", F.lit(",")), F.col("display_address"))
     return known.select(
         "response_id", address.alias("address"), geo.clean_postcode(F.col("address_postcode")).alias("pc"), "uprn"
     )
@@ -168,7 +168,7 @@ def left_forms(forms: DataFrame) -> DataFrame:
 def right_forms(forms: DataFrame) -> DataFrame:
     """One address form per qid of the right file: address, else display address."""
     known = _known_form_fields(forms.select("qid", "display_address", "address", "address_postcode", "uprn"))
-    address = mis.first_known(F.col("address"), F.concat("display_address", F.lit(",")))
+    address = F.coalesce(F.col("address"), F.concat("display_address", F.lit(",")))
     tidy = known.select(
         "qid", address.alias("address"), geo.clean_postcode(F.col("address_postcode")).alias("pc"), "uprn"
     )

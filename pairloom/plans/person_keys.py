@@ -10,9 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.similarity import contained_name, jaro_above, lev_above, lev_within
-from pairloom.operators.blocks import hot_blocks, hot_part, same
+from pairloom.operators.blocks import block_join, celled_join, hot_blocks, hot_part, same
 from pairloom.operators.columns import SUFFIX, count_by
-from pairloom.operators.keys import Key, Route, block_keys, lowest_key, route_pairs, single_key
+from pairloom.operators.keys import Key, Route, block_keys, lowest_key, single_key
 from pairloom.operators.pairs import PAIR, best_key
 from pairloom.session import checkpoint_dir
 
@@ -128,6 +128,7 @@ def dates_one_edit_apart() -> Column:
 
 ADDRESS = (("dob", "sex", "uprn"), ("dob", "sex", "pc", "house_no"))
 
+# Routes, rules and thresholds of the keys.
 KEYS: tuple[Key, ...] = (
     Key(1, (("fullname_ns", "dob", "sex", "pc"),)),
     Key(2, (("dob", "sex", "uprn"),), both_names),
@@ -191,7 +192,7 @@ def key_pairs(left: DataFrame, right: DataFrame, number: int) -> DataFrame:
     key = BY_NUMBER[number]
     left, right = keyed(left, "left"), keyed(right, "right")
     if number == MOVES_KEY:
-        return moved_together(route_pairs(left, right, key.routes[0], key.rule()))
+        return moved_together(celled_join(left, right, key.routes[0], key.rule()))
     if "place" in key.routes[0]:
         left, right = with_places(left, "left"), with_places(right, "right")
     return single_key(left, right, key, PAIR)
@@ -235,13 +236,15 @@ def link_people(left: DataFrame, right: DataFrame) -> DataFrame:
     linked = block_keys(left, right, blocks, PAIR, "mkey", hot)
 
     left_places, right_places = with_places(left, "left"), with_places(right, "right")
-    linked += block_keys(left_places, right_places, {ALT_BLOCK: [BY_NUMBER[ALT_KEY]]}, PAIR, "mkey")
+    hot_places = hot_blocks(left_places, right_places, [ALT_BLOCK])
+    linked += block_keys(left_places, right_places, {ALT_BLOCK: [BY_NUMBER[ALT_KEY]]}, PAIR, "mkey", hot_places)
 
     # people of equal names, sex and birth date serve four keys, one of which looks at them as a whole
     checkpoint_dir(left.sparkSession)
-    namesakes = route_pairs(left, right, NAMES_BLOCK, both_names(), hot_part(hot, len(blocks))).checkpoint()
     lowest, any_key = lowest_key(NAMES_BLOCK, [BY_NUMBER[n] for n in NAMES_KEYS], INITIALS)
-    linked.append(namesakes.filter(any_key).select(*PAIR, lowest.alias("mkey")))
+    met = block_join(left, right, NAMES_BLOCK, both_names(), hot_part(hot, len(blocks)))
+    namesakes = met.select(*PAIR, *HOUSE_MOVE, *UPRN_MOVE, F.when(any_key, lowest).alias("mkey")).checkpoint()
+    linked.append(namesakes.filter("mkey IS NOT NULL").select(*PAIR, "mkey"))
     linked.append(moved_together(namesakes).select(*PAIR, F.lit(MOVES_KEY).alias("mkey")))
     return best_key(reduce(DataFrame.unionByName, linked))
 

@@ -1,4 +1,4 @@
-"""Pre-search blocking passes: wide nets over the people that are still unlinked."""
+"""Pre-search blocking passes: wide nets over people, as a rule those still unlinked."""
 
 from __future__ import annotations
 
@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.functions.similarity import lev_above
-from pairloom.operators.blocks import hot_blocks, hot_part
+from pairloom.operators.blocks import hot_blocks
 from pairloom.operators.columns import SUFFIX
-from pairloom.operators.keys import Key, route_pairs
+from pairloom.operators.keys import Key, Route, block_keys, single_key
 from pairloom.operators.pairs import PAIR, best_key
 
 CARRIED = ["id", "fn", "fn1", "fn2", "sn1", "fn1_nickname", "dob", "age"]
@@ -47,16 +47,36 @@ def searchable(people: DataFrame, side: str) -> DataFrame:
     return people.select(*[c + s for c in CARRIED], F.col(then).alias(f"pc_then{s}"))
 
 
-def presearch_pairs(left: DataFrame, right: DataFrame, number: int, hot: DataFrame | None = None) -> DataFrame:
-    """Distinct pairs one pass finds; frequent names and ages are cut into cells."""
-    found = BY_NUMBER[number]
-    left, right = searchable(left, "left"), searchable(right, "right")
-    route = found.routes[0]
-    hot = hot if hot is not None else hot_part(hot_blocks(left, right, [route]), 0)
-    return route_pairs(left, right, route, found.rule() if found.rule else None, hot).select(*PAIR).distinct()
+def unlinked(people: DataFrame, links: DataFrame, side: str) -> DataFrame:
+    """People of a side that no final link holds."""
+    return people.join(links.select(f"id{SUFFIX[side]}").distinct(), f"id{SUFFIX[side]}", "left_anti")
+
+
+def presearch_pairs(left: DataFrame, right: DataFrame, number: int) -> DataFrame:
+    """Distinct pairs one pass finds; frequent names and ages are cut into cells.
+
+    Passes 5 to 7 ask for two equal names only, so their result is as large as
+    the product of the namesakes of both files.
+    """
+    return single_key(searchable(left, "left"), searchable(right, "right"), BY_NUMBER[number], PAIR)
 
 
-def presearch(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``(id_l, id_r, search_pass)``: pairs of any pass with the first pass that finds them."""
-    parts = [presearch_pairs(left, right, p.number).withColumn("search_pass", F.lit(p.number)) for p in PASSES]
+# Passes 3 and 4 ask for more than 8 and 10 on the same columns, but come first.
+BLOCKS: dict[Route, tuple[int, ...]] = {
+    ("dob",): (1,), ("age",): (2,), ("fn1", "dob"): (3, 8), ("sn1", "dob"): (4, 10), ("fn1", "sn1"): (5,), ("fn2", "sn1"): (6,),
+    ("fn1", "fn2"): (7,), ("fn2", "dob"): (9,), ("fn1_nickname", "sn1", "age"): (11,), ("sn1", "pc_then"): (12,),
+}
+
+
+def presearch(left: DataFrame, right: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """``(id_l, id_r, search_pass)``: pairs of any pass with the first pass that finds them.
+
+    With ``links`` only people that none of them holds are searched.  Every
+    block is joined once, and hot blocks are measured once for all of them.
+    """
+    if links is not None:
+        left, right = unlinked(left, links, "left"), unlinked(right, links, "right")
+    left, right = searchable(left, "left"), searchable(right, "right")
+    blocks = {block: [BY_NUMBER[n] for n in numbers] for block, numbers in BLOCKS.items()}
+    parts = block_keys(left, right, blocks, PAIR, "search_pass", hot_blocks(left, right, list(blocks)))
     return best_key(reduce(DataFrame.unionByName, parts), "search_pass")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.operators import mu
 from pairloom.operators.bands import score_bands
@@ -18,7 +18,8 @@ from pairloom.plans.household_keys import link_households
 from pairloom.plans.households import clean_left_households, clean_right_households
 from pairloom.plans.people import clean_left_people, clean_right_people
 from pairloom.plans.person_keys import link_people
-from pairloom.sources.stages import Stages
+from pairloom.plans.presearch import presearch
+from pairloom.sources.stages import Stages, write_one_csv, write_review_csv
 
 
 @dataclass(frozen=True)
@@ -67,7 +68,8 @@ def probability_stage(stages: Stages, spark: SparkSession, decisions: DataFrame)
     left, right = _people(stages, spark)
     gold = cb.gold_pairs(stages.read(spark, "person_links"), decisions)
     stages.write(mu.m_values(gold, left, right), "m_values")
-    stages.write(mu.u_values(left, right), "u_values")
+    # the expected share, not that of one random pairing: that of rare values would be 0
+    stages.write(mu.exact_u_values(left, right), "u_values")
 
 
 def score_stage(stages: Stages, spark: SparkSession) -> None:
@@ -75,7 +77,8 @@ def score_stage(stages: Stages, spark: SparkSession) -> None:
     m, u = stages.read(spark, "m_values"), stages.read(spark, "u_values")
     scores = stages.write(scoring.score_people(left, right, m, u, extra=("fullname", "uprn", "address")), "scores")
     links = stages.read(spark, "person_links")
-    stages.write(score_bands(scores, cb.automatic(links)), "score_bands")
+    bands = stages.write(score_bands(scores, cb.automatic(links)), "score_bands")
+    write_one_csv(bands.orderBy(F.desc("score_max")), stages.path("score_bands", "csv"))
 
 
 def combine_stage(stages: Stages, spark: SparkSession, more_links: DataFrame | None = None) -> None:
@@ -88,10 +91,27 @@ def combine_stage(stages: Stages, spark: SparkSession, more_links: DataFrame | N
 
 
 def review_stage(stages: Stages, spark: SparkSession, decisions: DataFrame) -> DataFrame:
-    """The next review batch; also kept as a stage."""
+    """The next review batch: a stage, the file to hand over, and its size."""
     stages.write(review.decided(decisions), "decided_pairs")
-    batch = review.review_batch(stages.read(spark, "clerical_links"), decisions)
-    return stages.write(batch, "review_batch")
+    batch = stages.write(review.review_batch(stages.read(spark, "clerical_links"), decisions), "review_batch")
+    write_review_csv(batch, stages.root, stages.run_date)
+    stages.write(review.batch_size(batch), "review_batch_size")
+    return batch
+
+
+def key_quality_stage(stages: Stages, sample: DataFrame) -> DataFrame:
+    """Counts by key of a sample of links made elsewhere, and the batch to review it."""
+    counts, batch = review.key_quality_batch(sample)
+    stages.write(counts, "key_quality_counts")
+    batch = stages.write(batch, "key_quality_batch")
+    write_review_csv(batch, stages.root, stages.run_date, "key_quality_pairs")
+    return batch
+
+
+def presearch_stage(stages: Stages, spark: SparkSession) -> DataFrame:
+    """Wide-net pairs of the people that no final link holds."""
+    found = presearch(*_people(stages, spark), stages.read(spark, "final_links"))
+    return stages.write(found, "presearch_pairs")
 
 
 def final_stage(stages: Stages, spark: SparkSession, decisions: DataFrame) -> DataFrame:

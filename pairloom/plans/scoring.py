@@ -17,9 +17,9 @@ from pairloom.config import (
     SCORE_VARIABLES,
 )
 from pairloom.functions.similarity import lev_score
-from pairloom.operators.blocks import block_join, hot_blocks, hot_part, same
+from pairloom.operators.blocks import celled_join, same
 from pairloom.operators.columns import SUFFIX
-from pairloom.operators.mu import weight_row
+from pairloom.operators.mu import checked, weight_row
 
 COMPARED = ["fn", "fn1", "sn", "sn1", "dob", "day", "mon", "year", "age", "sex"]
 PLACES = {"left": ["pc", "pc_alt"], "right": ["pc_refday", "pc_intday", "pc_alt"]}
@@ -48,11 +48,16 @@ def candidates(left: DataFrame, right: DataFrame, extra: Sequence[str] = ()) ->
     distinct, and no shuffle of the pairs, is needed.
     """
     left, right = located(left, "left", extra), located(right, "right", extra)
-    hot = hot_part(hot_blocks(left, right, [BLOCK]), 0)
     least_shared = F.array_min(F.array_intersect(F.col("places_l"), F.col("places_r")))
     # one postcode on both sides is the usual case and needs no set operation
     single = (F.size("places_l") == 1) | (F.size("places_r") == 1)
-    return block_join(left, right, BLOCK, single | (F.col("place_l") == least_shared), hot)
+    return celled_join(left, right, BLOCK, single | (F.col("place_l") == least_shared))
+
+
+def one_pass(left: DataFrame, right: DataFrame, left_pc: str, right_pc: str) -> DataFrame:
+    """Distinct pairs that share one kind of postcode each."""
+    sides = [people.select(f"id{s}", F.col(pc + s).alias(f"place{s}")).distinct() for people, pc, s in ((left, left_pc, "_l"), (right, right_pc, "_r"))]
+    return celled_join(*sides, BLOCK).select("id_l", "id_r").distinct()
 
 
 # --------------------------------------------------------------------------- agreements
@@ -132,13 +137,18 @@ def weight(variable: str, of: Column) -> Column:
     return F.when(missing & (agreement == 0), F.lit(0.0)).when(agreement < 1, sloped).otherwise(yes)
 
 
-def scored(pairs: DataFrame, m: DataFrame, u: DataFrame) -> DataFrame:
+#: Shares of agreement this near to 0 or 1 are taken as this far from them.
+LEAST_SHARE = 1e-9
+
+
+def scored(pairs: DataFrame, m: DataFrame, u: DataFrame, least: float | None = LEAST_SHARE) -> DataFrame:
     """Candidate pairs with agreements, weights and ``match_score``.
 
     The weights are one row and enter as a scalar subquery: computed once, then
-    a literal in every task.
+    a literal in every task.  ``least`` as in ``weight_row``; a weight that is
+    missing all the same is an error, not a lost score.
     """
-    row = weight_row(m, u)
+    row = checked(weight_row(m, u, least=least))
     weights = row.select(F.struct(*row.columns).alias("weights")).scalar()
     agreed = with_agreements(pairs).select("*", weights.alias("_weights"))
     weighed = agreed.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -42,14 +44,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="pairloom-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The part of the shared folder that holds this application's staged tables."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/staged/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a staged table inside the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/staged/{uuid.uuid4().hex}/{name}"
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def staged(df, name: str):
@@ -57,3 +65,15 @@ def staged(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more, in whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all staged tables of this application, once its results are written elsewhere."""
+    discard(spark, scratch_root(spark))

@@ -1,10 +1,12 @@
 """Clusters against union-find, on random graphs, a long chain and a hub."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from fixtures.catalog import registry
 from pairloom.operators.components import cluster_number
 
 
@@ -52,3 +54,30 @@ def test_clusters_equal_union_find(spark, name):
 def test_ids_must_be_text(spark):
     with pytest.raises(TypeError):
         cluster_number(spark.range(2).select("id", F.lit("x").alias("b")), "id", "b")
+
+
+def test_at_most_two_rounds_are_kept(spark, tmp_path, monkeypatch):
+    from pairloom.operators import components as c
+
+    kept, made = [], iter(range(100))
+    monkeypatch.setattr(c, "scratch_path", lambda _, name: f"{tmp_path}/{name}{next(made)}")
+    discard = c.discard
+
+    def counted(spark, path):
+        kept.append(len(list(tmp_path.iterdir())))
+        discard(spark, path)
+
+    monkeypatch.setattr(c, "discard", counted)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert c.components(chain).select("component").distinct().count() == 1
+    assert len(kept) > 1 and max(kept) == 2 and len(list(tmp_path.iterdir())) == 1
+
+
+def test_scratch_is_cleared(spark):
+    from pairloom.session import clear_scratch, scratch_root, staged
+
+    df = staged(spark.range(3), "three")
+    assert df.count() == 3
+    clear_scratch(spark)
+    assert not Path(scratch_root(spark)).exists()
+    registry._PATHS.clear()

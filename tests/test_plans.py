@@ -2,17 +2,19 @@
 
 import datetime as dt
 import re
+from functools import reduce
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from fixtures import inputs
+from fixtures.catalog import ORACLES, QUERIES
 from fixtures.catalog.registry import decisions, households, people, raw, stage
 from pairloom.functions import missing
-from pairloom.operators import mu
+from pairloom.operators import blocks, mu
 from pairloom.operators.bands import banded, score_bands
 from pairloom.operators.pairs import PAIR, best_key, latest
-from pairloom.plans import clerical as review, combine as cb, household_keys as hk, person_keys as pk, run as rn, scoring
+from pairloom.plans import clerical as review, combine as cb, household_keys as hk, person_keys as pk, presearch as ps, run as rn, scoring
 from pairloom.plans.people import movers
 from pairloom.sources import stages as out, tables as src
 
@@ -58,13 +60,17 @@ def test_candidates_need_no_distinct(spark, sf):
 # ------------------------------------------------------------------------------------- links
 def test_links_are_the_lowest_of_all_single_keys(spark, sf):
     left, right = people(spark, sf)
-    single = None
-    for n in (1, 2, 3, 10, 23, 28, 31, 32, 34, 35):
-        found = pk.key_pairs(left, right, n).withColumn("mkey", F.lit(n))
-        single = found if single is None else single.unionByName(found)
-    joint = {(a, b): k for a, b, k in rows(stage(spark, sf, "links"), *PAIR, "mkey")}
-    for a, b, n in rows(best_key(single), *PAIR, "mkey"):
-        assert joint[(a, b)] <= n
+    found = [pk.key_pairs(left, right, n).withColumn("mkey", F.lit(n)) for n in pk.BY_NUMBER]
+    single = best_key(reduce(DataFrame.unionByName, found))
+    assert rows(single, *PAIR, "mkey") == rows(stage(spark, sf, "links"), *PAIR, "mkey")
+
+
+@pytest.mark.parametrize("name", [n for n in ORACLES if re.match(r"[kh]\d\d_", n)])
+def test_single_keys_in_cells(spark, sf, duck, monkeypatch, name):
+    monkeypatch.setattr(blocks, "CELL_ROWS", 2)
+    got = QUERIES[name](spark, sf)
+    want = duck.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLES[name]}) q").fetchall()
+    assert rows(got, *got.columns) == sorted(want)
 
 
 def test_best_key_is_idempotent(spark, sf):
@@ -82,23 +88,48 @@ def test_missing_values_never_link(spark):
 
 
 def test_hot_blocks_do_not_change_links(spark, sf, monkeypatch):
-    from pairloom.operators import blocks
+    expected = rows(stage(spark, sf, "links"), *PAIR, "mkey")
+    households_expected = rows(stage(spark, sf, "household_links"), "hh_id_l", "hh_id_r", "hkey")
+    monkeypatch.setattr(blocks, "CELL_ROWS", 2)
+    assert rows(pk.link_people(*people(spark, sf)), *PAIR, "mkey") == expected
+    assert rows(hk.link_households(*households(spark, sf)), "hh_id_l", "hh_id_r", "hkey") == households_expected
 
-    original = blocks.hot_blocks
-    monkeypatch.setattr(pk, "hot_blocks", lambda left, right, keys: original(left, right, keys, cell_rows=2))
-    assert rows(pk.link_people(*people(spark, sf)), *PAIR, "mkey") == rows(stage(spark, sf, "links"), *PAIR, "mkey")
 
+def test_cells_read_the_files_once(spark, sf, monkeypatch):
+    """The hot list is stored: cut joins scan no more than whole ones, and read the list besides."""
+    def scans(df):
+        return len(re.findall(r"Scan parquet", plan(df)))
+
+    whole = scans(hk.link_households(*households(spark, sf)))
+    monkeypatch.setattr(blocks, "CELL_ROWS", 2)
+    assert scans(hk.link_households(*households(spark, sf))) <= whole + 2
 
-def test_hot_postcodes_do_not_change_candidates(spark, sf, monkeypatch):
-    from pairloom.operators import blocks
 
+def test_hot_postcodes_do_not_change_candidates(spark, sf, monkeypatch):
     left, right = people(spark, sf)
     expected = rows(scoring.candidates(left, right), *PAIR)
-    original = blocks.hot_blocks
-    monkeypatch.setattr(scoring, "hot_blocks", lambda a, b, keys: original(a, b, keys, cell_rows=2))
+    monkeypatch.setattr(blocks, "CELL_ROWS", 2)
     assert rows(scoring.candidates(left, right), *PAIR) == expected
 
 
+def test_a_long_hot_list_is_cut_not_dropped(spark, sf, monkeypatch):
+    left, right = households(spark, sf)
+    expected = rows(hk.household_key_pairs(left, right, 14), "hh_id_l", "hh_id_r")
+    monkeypatch.setattr(blocks, "CELL_ROWS", 1)
+    monkeypatch.setattr(blocks, "MAX_HOT_BLOCKS", 3)
+    assert rows(hk.household_key_pairs(left, right, 14), "hh_id_l", "hh_id_r") == expected
+
+
+def test_presearch_of_the_unlinked(spark, sf):
+    left, right = people(spark, sf)
+    links = stage(spark, sf, "links")
+    found = ps.presearch(left, right, links)
+    held = {r["id_l"] for r in links.select("id_l").collect()}
+    everyone = rows(ps.presearch(left, right), *PAIR)
+    got = rows(found, *PAIR)
+    assert got and set(got) <= set(everyone) and not {a for a, _ in got} & held
+
+
 # ------------------------------------------------------------------------------------- scores
 def _weights(spark, m=0.9, u=0.01):
     names = ("fn1", "sn1", "sex", "dob")
@@ -213,24 +244,45 @@ def test_decision_loads_may_order_their_columns_differently(spark, tmp_path):
 
 
 def test_stage_paths_carry_the_run_date():
-    stages = out.Stages("/data/run", dt.date(2021, 11, 16))
-    assert stages.path("links") == "/data/run/2021/11/16/links.parquet"
-    assert stages.path("bands", "csv") == "/data/run/2021/11/16/bands.csv"
+    stages = out.Stages("/data/run", dt.date(2000, 1, 31))
+    assert stages.path("links") == "/data/run/2000/01/31/links.parquet"
+    assert stages.path("bands", "csv") == "/data/run/2000/01/31/bands.csv"
 
 
 def test_whole_run_equals_the_stages(spark, sf, tmp_path):
     tables = ("left_people", "left_forms", "left_households", "right_people", "right_forms", "right_households",
               "nicknames", "areas", "willingness", "removals")
     raw_inputs = rn.Inputs(*[raw(spark, sf, f"raw_{t}") for t in tables])
-    stages = out.Stages(str(tmp_path), dt.date(2021, 11, 16))
+    stages = out.Stages(str(tmp_path), dt.date(2000, 1, 31))
     loads = decisions(spark, sf)
     final = rn.run(stages, raw_inputs, loads)
-    expected = review.final_links(stage(spark, sf, "combined"), loads)
+    left, right = people(spark, sf)
+    scores = scoring.score_people(left, right, stage(spark, sf, "m_values"), mu.exact_u_values(left, right))
+    expected = review.final_links(cb.combine(stage(spark, sf, "links"), scores), loads)
     columns = (*PAIR, "mkey", "clerical")
     assert sorted(rows(final, *columns), key=str) == sorted(rows(expected, *columns), key=str)
     assert rn.link_counts(stages, spark).count() > 10
     assert stages.read(spark, "left_removed").count() == inputs.left_stage(spark, sf).removed.count()
 
+    handed = src.read_text_csv(spark, f"{tmp_path}/2000/01/31/review/people_pairs.csv")
+    batch = stages.read(spark, "review_batch")
+    assert rows(handed, "unique_id", "dataset") == rows(batch, "unique_id", "dataset") and handed.count() > 0
+    size = stages.read(spark, "review_batch_size").first()
+    assert size["n_rows"] == handed.count()
+    report = src.read_text_csv(spark, stages.path("score_bands", "csv"))
+    assert report.count() == stages.read(spark, "score_bands").count() > 0
+    sample = rn.key_quality_stage(stages, stages.read(spark, "person_links").limit(20))
+    assert sample.count() == src.read_text_csv(spark, f"{tmp_path}/2000/01/31/review/key_quality_pairs.csv").count() > 0
+    assert rn.presearch_stage(stages, spark).columns == [*PAIR, "search_pass"]
+
+
+def test_weights_of_shares_at_the_ends(spark):
+    m, u = _weights(spark, 0.9, 0.0)
+    row = mu.weight_row(m, u, least=1e-6).first()
+    assert row["dob_agreement_weight"] == pytest.approx(19.78, abs=0.01) and None not in tuple(row)
+    with pytest.raises(Exception, match="no fn1_agreement_weight"):
+        mu.checked(mu.weight_row(m, u)).collect()
+
 
 def test_digits_of_blank_text(spark):
     got = spark.createDataFrame([("",), ("a1b2",)], "x string").select(missing.digits_int(F.col("x")).alias("n")).collect()
