@@ -25,7 +25,8 @@ def house_number(address: Column) -> Column:
     """
     commas = F.regexp_count(address, F.lit(","))
     street = F.call_function("substring_index", F.upper(address), F.lit(","), commas)
-    street = replace_all(street, FLOOR_TERMS)
+    # every term names a floor; most addresses don't and need no replacement
+    street = F.when(F.contains(street, F.lit("FLOOR")), replace_all(street, FLOOR_TERMS)).otherwise(F.trim(street))
     for word in UNIT_WORDS:
         street = F.trim(F.regexp_replace(street, rf"{word}\s*\d+", ""))
     numbers = F.regexp_extract_all(street, F.lit(r"\d+"), F.lit(0))
