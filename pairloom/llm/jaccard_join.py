@@ -155,6 +155,7 @@ def buckets(texts: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
     worded = texts.filter("tokens IS NOT NULL").select("text_id", "tokens")
     active, found = worded.mapInPandas(_first_paths(runs), schema), []
     for depth in range(1, DEPTH + 1):
+        active = staged(active, "split")  # both sides of the join below read it
         sizes = active.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         met = staged(active.join(sizes, "path"), "paths")
         last = depth == DEPTH
