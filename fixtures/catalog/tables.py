@@ -264,10 +264,15 @@ def p17(spark, sf):
     return plain(people(spark, sf)[1], "id", "pc", "la", "region", "htcw").distinct().drop("htcw")
 
 
-@query("p18_casts", "SELECT hh_id, CAST(tenure AS VARCHAR) AS tenure, CAST(typaccom AS DOUBLE) AS typaccom, no_resi FROM lh")
+@query("p18_casts", f"SELECT resident_id, sex, CAST(sex AS VARCHAR) AS sex_text, age FROM (SELECT resident_id, "
+       f"{cs.digits(cs.codes('sex', *CODES_TO_NULL['sex']))} AS sex, "
+       f"TRY_CAST({cs.blank('resident_age', *CODES_TO_BLANK['age'])} AS INT) AS age FROM raw_left_people) p")
 def p18(spark, sf):
-    left = plain(households(spark, sf)[0], "hh_id", "tenure", "typaccom", "no_resi")
-    return left.select("hh_id", F.col("tenure").cast("string"), F.col("typaccom").cast("double"), "no_resi")
+    left = raw(spark, sf, "raw_left_people").select(
+        "resident_id", mis.digits_int(mis.code_to_null(F.col("sex"), CODES_TO_NULL["sex"])).alias("sex"),
+        mis.as_int(mis.code_to_blank(F.col("resident_age"), CODES_TO_BLANK["age"])).alias("age"),
+    )
+    return left.select("resident_id", "sex", F.col("sex").cast("string").alias("sex_text"), "age")
 
 
 # ---------------------------------------------------------------------------------- joins
