@@ -30,13 +30,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairloom.llm.jaccard_join import _groups
 
-TREES = 64
-LENGTH = 24
+TREES = 40
+LENGTH = 20
 RECALL = 0.95
 #: Vectors of a block on average, and queries that meet it in one cell at most (about).
 BLOCK = 4096
 CELL_QUERIES = 16_384
-_QUERIES_AT_ONCE = 128
+_QUERIES_AT_ONCE = 256
 
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -62,38 +62,70 @@ class Forest:
         self.longest = norms.max()
         self.planes = np.random.default_rng(4).standard_normal((vectors.shape[1] + 1, trees * length))
         rest = np.sqrt(np.clip(1 - (norms / self.longest) ** 2, 0, None))
-        codes = self._codes(np.concatenate([vectors / self.longest, rest[:, None]], axis=1))
-        self.order = np.argsort(codes, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(codes, self.order, axis=0)
+        codes = self._codes(np.concatenate([vectors / self.longest, rest[:, None]], axis=1)).T
+        self.order = np.argsort(codes, axis=1, kind="stable")
+        self.sorted = np.ascontiguousarray(np.take_along_axis(codes, self.order, axis=1))
 
     def _codes(self, padded: np.ndarray) -> np.ndarray:
         """One hash string for each vector and tree, as a number."""
         bits = (padded @ self.planes > 0).reshape(len(padded), self.trees, self.length)
         return bits @ (1 << np.arange(self.length - 1, -1, -1, dtype=np.int64))
 
+    def _level(self, kth: np.ndarray, recall: float) -> np.ndarray:
+        """The longest prefix under which a vector with this cosine is met in some tree with probability ``recall``."""
+        together = np.maximum(1 - np.arccos(np.clip(kth, -1, 1)) / np.pi, 1e-12)
+        each = 1 - (1 - recall) ** (1 / self.trees)  # what one tree must give
+        with np.errstate(divide="ignore", invalid="ignore"):
+            level = np.floor(np.log(each) / np.log(together))
+        return np.clip(np.where(together >= 1, self.length, level), 0, self.length).astype(np.int64)
+
+    def _matching(self, codes: np.ndarray, wanted: int) -> np.ndarray:
+        """For each query the longest level, in steps of four, at which its trees hold ``wanted`` vectors, counted apart."""
+        out = np.zeros(len(codes), dtype=np.int64)
+        for level in range(self.length, 0, -4):
+            shift = self.length - level
+            total = np.zeros(len(codes), dtype=np.int64)
+            for tree in range(self.trees):
+                prefix = codes[:, tree] >> shift
+                total += np.searchsorted(self.sorted[tree], (prefix + 1) << shift) - np.searchsorted(self.sorted[tree], prefix << shift)
+            out = np.where((out == 0) & (total >= wanted), level, out)
+            if out.all():
+                break
+        return out
+
     def candidates(self, queries: np.ndarray, own: np.ndarray, k: int, recall: float) -> tuple[np.ndarray, np.ndarray]:
-        """Which vectors are looked at for each query, and all inner products.  ``own`` marks a query's own vector."""
+        """Which vectors are looked at for each query, and all inner products.  ``own`` marks a query's own vector.
+
+        The k-th best score so far tells how short the prefixes must become.
+        It only grows as they get shorter, so levels far above that can't be
+        enough and are passed over.
+        """
         n, norms = len(self.vectors), np.linalg.norm(queries, axis=1)
         codes = self._codes(np.concatenate([queries / norms[:, None], np.zeros((len(queries), 1))], axis=1))
         products = queries @ self.vectors.T
         met, active = np.zeros((len(queries), n), dtype=bool), np.arange(len(queries))
-        for level in range(self.length, -1, -1):
-            shift = self.length - level
-            prefix = codes[active] >> shift
-            low = np.stack([np.searchsorted(self.sorted[:, t], prefix[:, t] << shift) for t in range(self.trees)], axis=1)
-            high = np.stack([np.searchsorted(self.sorted[:, t], (prefix[:, t] + 1) << shift) for t in range(self.trees)], axis=1)
-            for place, tree in zip(*np.nonzero(high > low), strict=True):
-                met[active[place], self.order[low[place, tree] : high[place, tree], tree]] = True
-            found = met[active] & ~own[active]
-            enough = np.flatnonzero(found.sum(axis=1) >= k)
-            if len(enough):
-                scores = np.where(found[enough], products[active[enough]], -np.inf)
-                kth = np.partition(scores, n - k, axis=1)[:, n - k]
-                near = 1 - np.arccos(np.clip(kth / (norms[active[enough]] * self.longest), -1, 1)) / np.pi
-                done = 1 - (1 - near**level) ** self.trees >= recall
-                active = np.delete(active, enough[done])
-            if not len(active):
-                break
+        low, high = np.empty((2, self.trees, len(queries)), dtype=np.int64)
+        level = self._matching(codes, 2 * k)
+        while len(active):
+            shift = self.length - level[active]
+            for tree in range(self.trees):
+                prefix = codes[active, tree] >> shift
+                low[tree, active] = np.searchsorted(self.sorted[tree], prefix << shift)
+                high[tree, active] = np.searchsorted(self.sorted[tree], (prefix + 1) << shift)
+            for query in active.tolist():
+                row = met[query]
+                for order, a, b in zip(self.order, low[:, query].tolist(), high[:, query].tolist(), strict=True):
+                    if b > a:
+                        row[order[a:b]] = True
+            scores = np.where(met[active] & ~own[active], products[active], -np.inf)
+            kth = np.partition(scores, n - k, axis=1)[:, n - k] if n >= k else np.full(len(active), -np.inf)
+            known = np.isfinite(kth)
+            wanted = self._level(np.where(known, kth, 0) / (norms[active] * self.longest), recall)
+            more = (level[active] > 0) & (~known | (level[active] > wanted))
+            # first one level above what the score asks for: the candidates met there may raise it
+            further = np.where(known, np.minimum(level[active] - 1, wanted + 1), level[active] - 1)
+            level[active] = np.where(more, further, level[active])
+            active = active[more]
         return met & ~own, products
 
 
@@ -109,16 +141,21 @@ def _search(k: int, recall: float):
             for start in range(0, len(asked), _QUERIES_AT_ONCE):
                 some, their = asked[start : start + _QUERIES_AT_ONCE], queries[start : start + _QUERIES_AT_ONCE]
                 met, products = forest.candidates(their, some[:, None] == ids[None, :], k, recall)
-                out = []
+                query_ids, vec_ids, all_scores = [], [], []
                 for row, (query_id, query) in enumerate(zip(some.tolist(), their, strict=True)):
                     at = np.flatnonzero(met[row])
                     if len(at) > k:  # keep what may stand among the first k once scored alike
-                        kth = np.partition(products[row, at], len(at) - k)[len(at) - k]
-                        at = at[products[row, at] >= kth - 1e-9 * (abs(kth) + forest.longest * np.linalg.norm(query))]
+                        near = products[row, at]
+                        kth = np.partition(near, len(at) - k)[len(at) - k]
+                        at = at[near >= kth - 1e-9 * (abs(kth) + forest.longest * np.linalg.norm(query))]
                     scores = (vectors[at] * query).sum(axis=1)
                     best = np.lexsort((ids[at], -scores))[:k]
-                    out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[at][best], "score": scores[best]}))
-                yield pd.concat(out)
+                    query_ids.append(np.full(len(best), query_id))
+                    vec_ids.append(ids[at][best])
+                    all_scores.append(scores[best])
+                yield pd.DataFrame({
+                    "query_id": np.concatenate(query_ids), "vec_id": np.concatenate(vec_ids), "score": np.concatenate(all_scores),
+                })
 
     return search
 
