@@ -31,11 +31,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairloom.llm import shingles
 
 #: Words that a Python worker remembers before it starts anew.
-MAX_KNOWN = 1_000_000
+MAX_KNOWN = 300_000
 #: Symbols that are merged at once, about.
-MAX_SYMBOLS = 2_000_000
+MAX_SYMBOLS = 500_000
 #: Texts are encoded in chunks of about so many characters: the larger, the more words share a merge.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 #: Positions from which on a pair is merged at all of them in one step.
 MANY = 24
 
