@@ -1,9 +1,10 @@
 """License scan by ordered signature rules.
 
 A text is reduced to its words in small letters.  Every rule is a regular
-expression over these words with a keyword that each match must contain; only
-rules whose keyword stands in the text are tried, and only texts with a general
-license word are looked at all.  Detections are then put in the order of
+expression over these words with keywords that each match must contain: whole
+words, or beginnings of words that end in a hyphen here.  One pass over the text
+finds the keywords in it, and only rules whose keywords all stand there are
+tried.  Detections are then put in the order of
 their places, the wider first, and one that lies inside the one kept before
 stays only if its rule has a higher priority.
 
@@ -36,7 +37,7 @@ BASE = (
     ("cc by nc", "cc-by-nc"),
 )
 
-#: Label, words of the short identifier, names as expressions over words (they begin with the keyword).
+#: Label, words of the short identifier, names as expressions over words (they begin with a keyword).
 LICENSES = (
     ("mit", "mit", ("mit licen[sc]e", "mit x11 licen[sc]e", "expat licen[sc]e")),
     ("mit-0", "mit 0", ("mit no attribution",)),
@@ -125,16 +126,22 @@ SENTENCES = (
     ("copyright", 40, "copyright", "copyright(?: c)? (?:19|20)[0-9]{2}"),
 )
 
-#: One of these stands in every match of every rule; texts with none are not looked at.
-TRIGGERS = ("licen", "cc", "gpl", "bsd", "mpl", "epl", "apache", "eupl", "wtfpl", "odbl", "odc", "mozilla", "eclipse", "cddl", "creative", "common", "gfdl",
-            "no attribution", "openrail", "permission", "redistribut", "copyright", "warranty", "domain", "endorse", "unencumbered", "altered", "fuck", "reserved", "proprietary")
-
+PLACES = "array<struct<label:string,word:int>>"
 DETECTIONS = "array<struct<start:int,end:int,label:string,rule:int,priority:int>>"
 
 
-def _keyword(expression: str) -> str:
-    """The letters and digits that an expression over words begins with."""
-    return re.match("[a-z0-9]+", expression)[0]
+def _leading(expression: str) -> str:
+    """The word that an expression begins with, or its beginning if the word may go on."""
+    word = re.match("[a-z0-9]+", expression)[0]
+    return word if re.match(r"$| [^?]|\(\?: ", expression[len(word):]) else word + "-"
+
+
+def _required(template: str, name: str) -> set[str]:
+    """Keywords that stand in each match of a template for a name."""
+    found = {_leading(name)}
+    if re.search(r"(^| )licen\[sc\]e", template.split("{")[0].replace(_GRANT, "")) or " licen[sc]e" in name:
+        found.add("licen-")
+    return found
 
 
 @functools.cache
@@ -144,15 +151,43 @@ def rules() -> list[dict]:
     for label, short, names in LICENSES:
         for template, priority in TEMPLATES:
             for name in (short,) if "{short}" in template else names:
-                made.append((priority, label, _keyword(name), template.format(short=short, name=name)))
-    made += [(priority, label, keyword, sentence) for label, priority, keyword, sentence in SENTENCES]
+                made.append((priority, label, _required(template, name), template.format(short=short, name=name)))
+    made += [(priority, label, {keyword}, sentence) for label, priority, keyword, sentence in SENTENCES]
     made.sort(key=lambda r: -r[0])
+    begins = {k for _, _, needs, _ in made for k in needs if k.endswith("-")}
+
+    def found_as(keyword: str) -> str:
+        """A keyword that begins like the beginning of another is found as that one."""
+        return min((k for k in begins if keyword.startswith(k[:-1])), key=len, default=keyword)
+
     return [
-        {"rule": i, "priority": p, "label": label, "keyword": keyword, "pattern": f" {expression}(?= )"}
-        for i, (p, label, keyword, expression) in enumerate(made)
+        {"rule": i, "priority": p, "label": label, "needs": sorted(set(map(found_as, needs))), "pattern": f" {expression}(?= )"}
+        for i, (p, label, needs, expression) in enumerate(made)
     ]
 
 
+def keywords() -> list[str]:
+    return sorted({k for r in rules() for k in r["needs"]})
+
+
+def _keyword_pattern() -> str:
+    """Each keyword as it stands in a text, beginnings first; those that share a first letter are tried together."""
+    def any_of(found: list[str]) -> str:
+        letters = sorted({k[0] for k in found})
+        return "|".join(f"{c}(?:{'|'.join(k[1:] for k in found if k[0] == c)})" for c in letters)
+
+    begins, whole = ([k.rstrip("-") for k in keywords() if k.endswith("-") is kind] for kind in (True, False))
+    return f" (?:(?:{any_of(begins)})|(?:{any_of(whole)})(?= ))"
+
+
+def _groups() -> list[dict]:
+    """The rules by the keywords that they need."""
+    by: dict[tuple, list[dict]] = {}
+    for r in rules():
+        by.setdefault(tuple(k.rstrip("-") for k in r["needs"]), []).append({k: v for k, v in r.items() if k != "needs"})
+    return [{"needs": list(k), "rules": v} for k, v in by.items()]
+
+
 def words_column(text: Column) -> Column:
     """A text's words in small letters, each between single blanks.
 
@@ -165,25 +200,35 @@ def words_column(text: Column) -> Column:
 
 def _base_places(words: Column, phrase: str, label: str) -> Column:
     """``{label, word}`` for each place where the phrase starts; words count from 0."""
-    wanted, found = phrase.split(" "), F.split(F.trim(words), " ")
-    there = F.filter(
-        F.sequence(F.lit(0), F.size(found) - len(wanted)),
-        lambda i: functools.reduce(lambda a, b: a & b, [F.get(found, i + k) == w for k, w in enumerate(wanted)]),
-    )
-    places = F.transform(there, lambda i: F.struct(F.lit(label).alias("label"), i.alias("word")))
-    return F.when(F.contains(words, F.lit(f" {phrase} ")), places).otherwise(F.array().cast("array<struct<label:string,word:int>>"))
+    between = F.split(words, f" {phrase}(?= )", -1)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(PLACES).alias("out"))
+
+    def step(seen: Column, before: Column) -> Column:
+        word = seen["at"] + _blanks(before)
+        place = F.struct(F.lit(label).alias("label"), word.alias("word"))
+        return F.struct((word + len(phrase.split(" "))).alias("at"), F.concat(seen["out"], F.array(place)).alias("out"))
+
+    # what stands before each place; the part after the last one has none
+    places = F.aggregate(F.slice(between, 1, F.size(between) - 1), start, step, lambda seen: seen["out"])
+    return F.when(F.contains(words, F.lit(f" {phrase} ")), places).otherwise(F.array().cast(PLACES))
+
+
+def _blanks(text: Column) -> Column:
+    """How many blanks a text has: each stands before a word."""
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def _detections(words: Column) -> Column:
-    known = F.from_json(F.lit(json.dumps(rules())), "array<struct<rule:int,priority:int,label:string,keyword:string,pattern:string>>")
+def _detections(words: Column, present: Column) -> Column:
+    kind = "array<struct<needs:array<string>,rules:array<struct<rule:int,priority:int,label:string,pattern:string>>>>"
+    known = F.from_json(F.lit(json.dumps(_groups())), kind)
 
     def found(rule: Column) -> Column:
         return F.transform(spans(words, rule["pattern"]), lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), rule["label"].alias("label"), rule["rule"].alias("rule"), rule["priority"].alias("priority")
         ))
 
-    tried = F.filter(known, lambda rule: F.contains(words, rule["keyword"]))
-    return F.flatten(F.transform(tried, found))
+    tried = F.filter(known, lambda group: F.forall(group["needs"], lambda k: F.array_contains(present, k)))
+    return F.flatten(F.transform(F.flatten(F.transform(tried, lambda group: group["rules"])), found))
 
 
 def _resolved(found: Column) -> Column:
@@ -216,12 +261,13 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
     between single blanks.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), words_column(F.col(text_col).cast("string")).alias("words"))
+    found = F.regexp_extract_all("words", F.lit(_keyword_pattern()), F.lit(0))
+    present = F.array_distinct(F.transform(found, lambda k: F.trim(k)))
+    rows = rows.select("*", present.alias("present"))
     places = F.flatten(F.array(*[_base_places(F.col("words"), phrase, label) for phrase, label in BASE]))
-    triggered = functools.reduce(lambda a, b: a | b, [F.contains(F.col("words"), F.lit(t)) for t in TRIGGERS])
-    detected = F.when(triggered, _resolved(_detections(F.col("words")))).otherwise(F.array().cast(DETECTIONS))
-    blanks = F.length("words") - F.length(F.replace(F.col("words"), F.lit(" "), F.lit("")))
+    detected = F.when(F.size("present") > 0, _resolved(_detections(F.col("words"), F.col("present")))).otherwise(F.array().cast(DETECTIONS))
     # words stand between single blanks; a text without words is two blanks
-    n_words = F.when(F.col("words") == "  ", 0).otherwise(blanks - 1).cast("long")
+    n_words = F.when(F.col("words") == "  ", 0).otherwise(_blanks(F.col("words")) - 1).cast("long")
     return rows.select("doc_id", n_words.alias("n_words"), places.alias("base"), detected.alias("detections"))
 
 
