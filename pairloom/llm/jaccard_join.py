@@ -156,7 +156,8 @@ def buckets(texts: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
     active, found = worded.mapInPandas(_first_paths(runs), schema), []
     for depth in range(1, DEPTH + 1):
         active = staged(active, "split")  # both sides of the join below read it
-        sizes = active.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        # stored, so that both sides of the join are plain shuffles, whose hot paths Spark can split
+        sizes = staged(active.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
         met = staged(active.join(sizes, "path"), "paths")
         last = depth == DEPTH
         found.append(met if last else met.filter(F.col("n") <= SMALL))
