@@ -11,10 +11,13 @@ language and go in the first stage.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm import jaccard_join, language, packing, pii, samples, toxicity
+from pairloom.llm.batches import small_batches
 from pairloom.session import staged
 
 #: A text this far from every language is no text of any of them.
@@ -65,12 +68,22 @@ def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _stage(work):
+    """A stage that hands whole texts to Python in small batches."""
+    @functools.wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return work(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language", identify_language),
-    ("toxicity", drop_toxic),
-    ("near_duplicates", drop_near_duplicates),
-    ("personal_data", redact_personal_data),
-    ("packing", pack_tokens),
+    ("language", _stage(identify_language)),
+    ("toxicity", _stage(drop_toxic)),
+    ("near_duplicates", _stage(drop_near_duplicates)),
+    ("personal_data", _stage(redact_personal_data)),
+    ("packing", _stage(pack_tokens)),
 ]
 
 #: No SQL: languages, toxicity and similarity classes are beyond it; the tests compare with plain Python.

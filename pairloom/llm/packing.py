@@ -35,7 +35,7 @@ WINDOW = 2048
 END_ID = 1
 
 #: Stretches that a Python worker remembers before it starts anew.
-MAX_KNOWN = 1_000_000
+MAX_KNOWN = 200_000
 _GAPS = re.compile("[ \n\r\t]+")
 #: Characters whose small letter, composition or kind is not plain (the dotted capital I among them), or that start a special token.
 _BEYOND_LATIN = re.compile("[\u0130\u0250-\U0010ffff]|<\\|")

@@ -14,7 +14,7 @@ import numpy as np
 
 SHINGLE_WORDS = 5
 #: Texts are hashed in chunks of about so many characters, which bounds memory.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 300_000
 
 _U = np.uint64
 

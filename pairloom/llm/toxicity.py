@@ -101,7 +101,7 @@ def _training_bags(texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     for part in shingles.chunks(texts):
         of, buckets, shares = _bags(texts[part])
         ends = np.searchsorted(of, np.arange(1, part.stop - part.start))
-        bags += zip(np.split(buckets, ends), np.split(shares, ends), strict=True)
+        bags += zip(np.split(buckets.astype(np.int32), ends), np.split(shares, ends), strict=True)
     return bags
 
 
