@@ -45,9 +45,10 @@ FORMS = {
 _GATES = {"email": "@", "phone": "+"}
 _SECRET_FORM = "^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]{16,}$"
 
-#: A label, its tie and a value.
-_VALUE = r"[^\s\"',;]{3,63}[^\s\"',;.!?)]"
-_CONTEXT = rf"(?<![A-Za-z_])([A-Za-z_]{{2,20}}+)(\x20?[=:]\x20?[\"']?)({_VALUE})"
+#: A label, its tie and a value, of any length; final punctuation is given back.  ``{3,}`` in
+#: one piece would recurse in the JVM where characters of different width alternate.
+_VALUE = r"[^\s\"',;]{3}[^\s\"',;]*[^\s\"',;.!?)]"
+_CONTEXT = rf"(?<![A-Za-z_])([A-Za-z_]{{2,}}+)(\x20?[=:]\x20?[\"']?)({_VALUE})"
 
 FOUND = "array<struct<start:int,order:int,end:int,kind:string>>"
 

@@ -118,6 +118,53 @@ def test_unseen_identifiers(spark):
     assert pii.summary(docs.limit(0)).count() == 0
 
 
+def scan(text):
+    """``(label, value, start, end)`` of all labelled values, letter by letter and without a regex."""
+    out, at = [], 0
+    letter, ends = lambda c: c.isascii() and (c.isalpha() or c == "_"), " \t\n\r\f\v\"',;"
+    while at < len(text):
+        if not letter(text[at]) or at and letter(text[at - 1]):
+            at += 1
+            continue
+        tie = at
+        while tie < len(text) and letter(text[tie]):
+            tie += 1
+        value = tie + (text[tie : tie + 1] == " ")
+        if tie - at < 2 or text[value : value + 1] not in ("=", ":"):
+            at = tie
+            continue
+        value += 1
+        value += text[value : value + 1] == " "
+        value += text[value : value + 1] in ("'", '"')
+        end = value
+        while end < len(text) and text[end] not in ends:
+            end += 1
+        while end > value and text[end - 1] in ".!?)":
+            end -= 1
+        if end - value >= 4:
+            out.append((text[at:tie].lower(), text[value:end], value, end))
+            at = end
+        else:
+            at = tie
+    return out
+
+
+def test_long_labels_and_values(spark):
+    """Labels of over 20 letters and values of over 64 characters are found whole."""
+    rng = random.Random(5)
+    long = "".join(rng.choices("0123456789abcdef", k=126)) + "0a"
+    jwt = ".".join("".join(rng.choices("abcXYZ019_-", k=k)) for k in (36, 200, 43))
+    texts = [f'say aws_secret_access_key = "{"".join(rng.choices("0123456789abcdef", k=38))}0a" ok' for _ in range(8)]
+    texts += [f'say aws_secret_access_key = "{long}" ok', f'say aws_secret_access_key = "{jwt}!).', f'{"x" * 21}: abcdef' , "é😀" * 30_000 + " ab=" + "é😀" * 30_000]
+    texts += [f'aws_secret_access_key = "{long[:100]}{i}" ok' for i in range(3)] + ["ab=" + "." * 50_000, "a" * 50_000 + "=" + "b" * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [(int(r["row_id"]), r["value"], r["start"], r["end"]) for r in pii.candidates(docs).collect()]
+    assert sorted(found) == sorted((i, v, a, b) for i, t in enumerate(texts) for _, v, a, b in scan(t))
+    assert {v for i, v, _, _ in found if i in (8, 9)} == {long, jwt} and len({v for i, v, _, _ in found if i in (12, 13, 14)}) == 3
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert clean[8] == 'say aws_secret_access_key = "[SECRET]" ok' and clean[9] == 'say aws_secret_access_key = "[SECRET]!).' and clean[10] == texts[10]
+
+
 def test_native_plan(spark, sf):
     plan = queries.QUERIES["op5_pii"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
