@@ -9,6 +9,11 @@ values, and a value's score is the greatest confidence of its patterns, or 1
 for a seed.  Every value of a pattern with enough confidence and support is
 then taken for an identifier of that kind, whatever its form.
 
+The words around an identifier are patterns too: the two before it, such as
+``token is``, and one on either side.  There the seeds are all words that begin
+with a form, and only values of patterns with enough confidence are carried to
+the next round.  Values of labels and of words are not carried to each other.
+
 All is DataFrame functions.  Candidates are found once, stored, and both make
 the graph and give the places of what was discovered.
 
@@ -45,10 +50,20 @@ FORMS = {
 _GATES = {"email": "@", "phone": "+"}
 _SECRET_FORM = "^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]{16,}$"
 
-#: A label, its tie and a value, of any length; final punctuation is given back.  ``{3,}`` in
-#: one piece would recurse in the JVM where characters of different width alternate.
-_VALUE = r"[^\s\"',;]{3}[^\s\"',;]*[^\s\"',;.!?)]"
-_CONTEXT = rf"(?<![A-Za-z_])([A-Za-z_]{{2,}}+)(\x20?[=:]\x20?[\"']?)({_VALUE})"
+#: A label, its tie and a value of any length; final punctuation is given back.  ``{3,}`` in
+#: one piece would recurse in the JVM where characters of different width alternate.  Groups
+#: of digits with single blanks between them are one value, if no other form ends before them.
+_ENDS = r"(?=[.!?)]*(?:[\s\"',;]|$))"
+_IP = rf"[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{_ENDS}"
+_NUMBERS = rf"[+(]{{0,2}}[0-9](?:[().-]{{0,2}}\x20?[().-]{{0,2}}[0-9]){{3,}}+{_ENDS}"
+_VALUE = rf"(?:{_IP}|{_NUMBERS}|[^\s\"',;]{{3}}[^\s\"',;]*[^\s\"',;.!?)])"
+_CONTEXT = rf"(?<![A-Za-z_])([A-Za-z_]{{2,}}+)([\"']?\x20?[=:]\x20?[\"']?)({_VALUE})"
+
+#: Where a word begins; a single blank between digits doesn't end one.
+_GAP = r"(?<=\s)(?=\S)(?!(?<=[0-9)]\x20)\(?[0-9])"
+_OPENS = r"^[\"'\[<{]*"
+_WORD_VALUE = rf"{_OPENS}([^\t\n\x0B\f\r\"',;]*[^\s\"',;.!?)])"
+_HEX = r"(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])"
 
 FOUND = "array<struct<start:int,order:int,end:int,kind:string>>"
 
@@ -136,31 +151,113 @@ def patterns(found: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDE
     return rated.filter((F.col("confidence") >= confidence) & (F.col("support") >= support))
 
 
-def _discovered(found: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``(row_id, row_hash, extra)``: spans of the trusted patterns' values, by row."""
+def _words(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``(row_id, row_hash, pos, word, pattern)``: every word with the two before it, and with one on either side."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(*_row_key(id_col, text), F.split(text, _GAP, -1).alias("words"))
+    none = F.lit("")
+    near = F.arrays_zip(
+        F.col("words").alias("word"), F.concat(F.array(none), F.col("words")).alias("last"),
+        F.concat(F.array(none, none), F.col("words")).alias("second"), F.slice("words", 2, F.size("words")).alias("next"),
+    )
+    each = rows.select("row_id", "row_hash", F.posexplode(near).alias("pos", "s")).select("row_id", "row_hash", "pos", "s.*").filter("word IS NOT NULL")
+
+    def plain(word: str) -> Column:
+        return F.lower(F.rtrim(F.col(word), F.lit(" \t\n\x0b\f\r")))
+
+    before = F.when((F.col("second") != "") & (F.col("last") != ""), F.concat(plain("second"), F.lit(" "), plain("last"), F.lit(" _")))
+    around = F.when((F.col("last") != "") & (F.col("next") != ""), F.concat(plain("last"), F.lit(" _ "), plain("next")))
+    return each.select("row_id", "row_hash", "pos", "word", F.explode(F.array(before, around)).alias("pattern")).filter("pattern IS NOT NULL")
+
+
+def _word_seeds(words: DataFrame) -> DataFrame:
+    """``(pattern, value, kind)`` of the words that begin with a valid form."""
+    def body(kind: str) -> str:
+        return _HEX if kind == SECRET else FORMS[kind].replace(rf"(?:(?<![{_LOCAL}])|\G)", "").replace("(?<![0-9]{2})", "")
+
+    def made(kind: str) -> Column:
+        found = F.regexp_extract("word", f"{_OPENS}({body(kind)})", 1)
+        return F.when((found != "") & _valid(kind, found), F.struct(found.alias("value"), F.lit(kind).alias("kind")))
+
+    some = words.filter(F.rlike("word", F.lit("[0-9@]")))
+    return some.select("pattern", F.explode(F.array(*map(made, ALL_KINDS))).alias("seed")).filter("seed IS NOT NULL").select("pattern", "seed.*").distinct()
+
+
+def word_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: float = SUPPORT) -> DataFrame | None:
+    """``(row_id, row_hash, start, end, kind)``: the values of trusted patterns of plain words; None if there is no such pattern.
+
+    The texts are read again in each round, since the words of all texts are
+    too many to store: only those of patterns that have support are kept.
+    """
+    words = _words(docs, text_col, id_col)
+    value = F.regexp_extract("word", _WORD_VALUE, 1)
+    scored = staged(_word_seeds(words).withColumn("score", F.lit(1.0)), "word_seeds")
+    trusted = hits = None
+    for turn in range(rounds):
+        sums = staged(scored.groupBy("pattern", "kind").agg(F.sum("score").alias("support")).filter(F.col("support") >= support), "word_sums")
+        if sums.isEmpty():
+            break
+        met = words.join(sums.select("pattern").distinct(), "pattern").select("pattern", F.xxhash64(value).alias("value"))
+        sizes = met.distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+        rated = sums.join(sizes, "pattern").withColumn("confidence", F.col("support") / (F.greatest("n", "support") + 1))
+        best = rated.groupBy("pattern").agg(F.max(F.struct("confidence", "kind")).alias("best")).select("pattern", "best.*")
+        trusted = staged(best.filter(F.col("confidence") >= confidence), "word_patterns")
+        if turn == rounds - 1 or trusted.isEmpty():
+            break
+        # what the patterns found is looked for in other contexts; without new values all scores stay
+        hits = staged(words.join(trusted, "pattern").withColumn("value", value).filter("value != ''"), "word_hits")
+        carried = hits.groupBy("value", "kind").agg(F.max("confidence").alias("score"))
+        carried = staged(carried.join(scored.select("value", "kind").distinct(), ["value", "kind"], "left_anti"), "word_values")
+        if carried.isEmpty():
+            break
+        hits = None
+        elsewhere = words.withColumn("value", value).join(carried, "value").select("pattern", "value", "kind", "score")
+        scored = staged(scored.unionByName(elsewhere).groupBy("pattern", "value", "kind").agg(F.max("score").alias("score")), "word_scores")
+    if trusted is None or trusted.isEmpty():
+        return None
+    if hits is None:
+        hits = words.join(trusted, "pattern").filter(value != "")
+    hits = hits.groupBy("row_id", "row_hash", "pos").agg(F.max(F.struct("confidence", "kind")).alias("best"))
+    places = hits.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("pos", F.col("best.kind").alias("kind"))).alias("hits"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(*_row_key(id_col, text), F.split(text, _GAP, -1).alias("words")).join(places, ["row_id", "row_hash"]).dropDuplicates(["row_id", "row_hash"])
+    each = rows.select("row_id", "row_hash", F.explode(F.transform("hits", lambda h: F.struct(
+        h["kind"].alias("kind"), F.get("words", h["pos"]).alias("word"), F.length(F.array_join(F.slice("words", F.lit(1), h["pos"]), "")).alias("before")
+    ))).alias("h")).select("row_id", "row_hash", "h.*")
+    start = F.col("before") + F.length(F.regexp_extract("word", _OPENS, 0))
+    return each.select("row_id", "row_hash", start.alias("start"), (start + F.length(value)).alias("end"), "kind")
+
+
+def _discovered(found: DataFrame, trusted: DataFrame, by_words: DataFrame | None = None) -> DataFrame:
+    """``(row_id, row_hash, extra, worded)``: spans of the trusted patterns' values, of labels and of words, by row."""
     best = trusted.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
     order = functools.reduce(lambda a, k: a.when(F.col("kind") == k, ALL_KINDS.index(k)), ALL_KINDS[1:], F.when(F.col("kind") == ALL_KINDS[0], 0))
     span = F.struct(F.col("start"), order.alias("order"), F.col("end"), F.col("kind"))
-    return found.join(best, "pattern").groupBy("row_id", "row_hash").agg(F.collect_set(span).alias("extra"))
+    rows = found.join(best, "pattern").select("row_id", "row_hash", span.alias("label"), F.lit(None).cast(FOUND[6:-1]).alias("word"))
+    if by_words is not None:
+        rows = rows.unionByName(by_words.select("row_id", "row_hash", F.lit(None).cast(FOUND[6:-1]).alias("label"), span.alias("word")))
+    return rows.groupBy("row_id", "row_hash").agg(F.collect_set("label").alias("extra"), F.collect_set("word").alias("worded"))
 
 
 def find(docs: DataFrame, keep: list[str], text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The columns ``keep`` of all rows, ``base_spans`` and ``all_spans``; spans are ``{start, order, end, kind}`` in order.
 
-    Discovered spans that overlap one of a fixed form are left out.
+    Discovered spans that overlap one of a fixed form are left out, and those
+    of plain words also where they overlap a labelled one.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = staged(candidates(docs, text_col, id_col), "candidates")
-    extra = _discovered(found, patterns(found))
+    extra = _discovered(found, patterns(found), word_spans(docs, text_col, id_col))
     base = F.array_sort(F.flatten(F.array(*[form_spans(text, kind) for kind in KINDS])))
     # the names of a fresh struct can't clash with those of the rows
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), *_row_key(id_col, text), base.alias("base_spans"))
     joined = rows.join(extra, ["row_id", "row_hash"], "left")
 
-    def free(x: Column) -> Column:
-        return ~F.exists("base_spans", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
+    def free(spans_of: Column, taken: Column) -> Column:
+        return F.filter(spans_of, lambda x: ~F.exists(taken, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
 
-    more = F.filter(F.coalesce("extra", F.array().cast(FOUND)), free)
+    labelled = free(F.coalesce("extra", F.array().cast(FOUND)), F.col("base_spans"))
+    more = F.concat(labelled, free(F.coalesce("worded", F.array().cast(FOUND)), F.concat("base_spans", labelled)))
     return joined.select("row", "base_spans", F.array_sort(F.concat("base_spans", more)).alias("all_spans"))
 
 

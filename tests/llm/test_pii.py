@@ -165,6 +165,22 @@ def test_long_labels_and_values(spark):
     assert clean[8] == 'say aws_secret_access_key = "[SECRET]" ok' and clean[9] == 'say aws_secret_access_key = "[SECRET]!).' and clean[10] == texts[10]
 
 
+def test_contexts_of_words(spark):
+    """Identifiers written with blanks, in JSON, or after plain words give patterns, which find others."""
+    phones = [f"+1 (171) 555-20{i}8" for i in range(8)]
+    rows = [f"x{i} {i}y you may ring Anna {p} today or z{i}" for i, p in enumerate(phones)] + ["oh ring Anna 0171 555 2028 today ok", "ring Anna\n(171) 555-2099."]
+    rows += [f"contact{i} phone: {p}" for i, p in enumerate(phones)] + ["mine phone: 0171 555 2028, ok"]
+    rows += [f'{{"token": "{i}abcdef0123456789ab"}}' for i in range(8)] + ['{"token": "open-sesame"}']
+    rows += [f"so my mail is an{i}@b.example and" for i in range(8)] + ["so my mail is anna-at-b and", "not at all my thing, mail was an odd word and"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert got[8] == "oh ring Anna [PHONE] today ok" and got[9] == "ring Anna\n[PHONE]."
+    assert got[10] == "contact0 phone: [PHONE]" and got[18] == "mine phone: [PHONE], ok"
+    assert got[19] == '{"token": "[SECRET]"}' and got[27] == '{"token": "[SECRET]"}'
+    assert got[28] == "so my mail is [EMAIL] and" and got[36] == "so my mail is [EMAIL] and" and got[37] == rows[37]
+    assert all(got[i] == f"x{i} {i}y you may ring Anna [PHONE] today or z{i}" for i in range(8))
+
+
 def test_native_plan(spark, sf):
     plan = queries.QUERIES["op5_pii"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
