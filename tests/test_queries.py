@@ -5,11 +5,10 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 
 import __spark_entry__ as entry
+from fixtures.catalog import ORACLES, QUERIES
 from fixtures.catalog.registry import STAGES, stage
 from tools.check import norm, rows
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="session")
 def results(spark, duck, sf):
@@ -45,6 +44,10 @@ def test_query_equals_sql(results, name):
     assert spark_rows == sql_rows
 
 
+def test_entry_registers_all_of_them():
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
+
+
 def test_entry_gives_key_counts(spark):
     df = entry.entry(spark)
     assert df.columns == ["mkey", "n"] and df.count() > 10
