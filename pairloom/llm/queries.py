@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, fingerprints, forest, jaccard_join, language, licenses, packing, pii, quality, samples, toxicity
+from pairloom.llm import (
+    bpe, fingerprints, forest, hyperplanes, jaccard_join, language, licenses, packing, pii, quality, recompression, resampling, samples, toxicity,
+)
 from pairloom.llm.batches import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +96,47 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pii")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(table(spark, sf_dir, "documents"))
+
+
+_HARD_NEGATIVES_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+        coalesce(list_sum([p[1] * p[2] FOR p IN list_zip(a.x, b.x)]), 0)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+    SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+    WHERE 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+)
+SELECT * FROM n WHERE rank <= 10
+"""
+
+
+@query("op11_hard_negatives", _HARD_NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hyperplanes.hard_negatives(hyperplanes.whole_vectors(rows), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_resampling")
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_substring_dedup")
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompression.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
