@@ -27,7 +27,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.llm.spans import spans
+from pairloom.llm.spans import let, running, spans
 
 #: What separates words, and phrases with their labels.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -200,16 +200,15 @@ def words_column(text: Column) -> Column:
 
 def _base_places(words: Column, phrase: str, label: str) -> Column:
     """``{label, word}`` for each place where the phrase starts; words count from 0."""
-    between = F.split(words, f" {phrase}(?= )", -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(PLACES).alias("out"))
-
-    def step(seen: Column, before: Column) -> Column:
-        word = seen["at"] + _blanks(before)
-        place = F.struct(F.lit(label).alias("label"), word.alias("word"))
-        return F.struct((word + len(phrase.split(" "))).alias("at"), F.concat(seen["out"], F.array(place)).alias("out"))
+    size = len(phrase.split(" "))
 
     # what stands before each place; the part after the last one has none
-    places = F.aggregate(F.slice(between, 1, F.size(between) - 1), start, step, lambda seen: seen["out"])
+    def placed(blanks: Column) -> Column:
+        at = running(blanks, F.lit(0), lambda now, n: now + n + size)
+        return F.zip_with(blanks, at, lambda n, now: F.struct(F.lit(label).alias("label"), (now + n).alias("word")))
+
+    between = F.split(words, f" {phrase}(?= )", -1)
+    places = let(let(between, lambda parts: F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), _blanks)), placed)
     return F.when(F.contains(words, F.lit(f" {phrase} ")), places).otherwise(F.array().cast(PLACES))
 
 
@@ -232,25 +231,28 @@ def _detections(words: Column, present: Column) -> Column:
 
 
 def _resolved(found: Column) -> Column:
-    """Detections without those inside the one kept before, unless their priority is higher."""
+    """Detections without those that end no further than the ones kept before, unless their priority is above that of the last one kept."""
     def before(x: Column, y: Column) -> Column:
         def by(left, right, then):
             return F.when(left < right, -1).when(left > right, 1).otherwise(then)
 
         return by(x["start"], y["start"], by(y["end"], x["end"], by(y["priority"], x["priority"], by(x["rule"], y["rule"], F.lit(0)))))
 
-    start = F.struct(F.lit(-1).alias("end"), F.lit(-1).alias("priority"), F.array().cast(DETECTIONS).alias("kept"))
-
     def step(seen: Column, x: Column) -> Column:
         further = x["end"] > seen["end"]
-        keep = further | (x["priority"] > seen["priority"])
         return F.struct(
             F.when(further, x["end"]).otherwise(seen["end"]).alias("end"),
-            F.when(keep, x["priority"]).otherwise(seen["priority"]).alias("priority"),
-            F.when(keep, F.concat(seen["kept"], F.array(x))).otherwise(seen["kept"]).alias("kept"),
+            F.when(further | (x["priority"] > seen["priority"]), x["priority"]).otherwise(seen["priority"]).alias("priority"),
         )
 
-    return F.aggregate(F.array_sort(found, before), start, step, lambda seen: seen["kept"])
+    def kept(ordered: Column) -> Column:
+        start = F.struct(F.lit(-1).alias("end"), F.lit(-1).alias("priority"))
+        each = F.zip_with(ordered, running(ordered, start, step), lambda x, seen: F.struct(
+            ((x["end"] > seen["end"]) | (x["priority"] > seen["priority"])).alias("keep"), x.alias("found")
+        ))
+        return F.transform(F.filter(each, lambda x: x["keep"]), lambda x: x["found"])
+
+    return let(F.array_sort(found, before), lambda ordered: F.when(F.size(ordered) > 0, kept(ordered)).otherwise(F.array().cast(DETECTIONS)))
 
 
 def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

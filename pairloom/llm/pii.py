@@ -11,7 +11,7 @@ then taken for an identifier of that kind, whatever its form.
 
 The words around an identifier are patterns too: the two before it, such as
 ``token is``, and one on either side.  There the seeds are all words that begin
-with a form, and only values of patterns with enough confidence are carried to
+with a form, a pattern must hold a share of the seeds of its kind, and only values of patterns with enough confidence are carried to
 the next round.  Values of labels and of words are not carried to each other.
 
 All is DataFrame functions.  Candidates are found once, stored, and both make
@@ -27,7 +27,7 @@ import functools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.llm.spans import spans
+from pairloom.llm.spans import blocks, free, let, running, spans
 from pairloom.session import staged
 
 KINDS = ("email", "ip", "card", "phone")
@@ -37,6 +37,10 @@ ROUNDS = 3
 CONFIDENCE = 0.7
 #: Different values with the score of a seed that a pattern must have, added up.
 SUPPORT = 3
+#: A pattern of plain words must also hold this share of all seeds of its kind.  Pairs of common words
+#: stand around seeds by chance, in proportion to their number: the commonest pair of a text is some
+#: hundredth of all pairs, so an absolute number would let more and more of them through.
+SHARE = 0.02
 
 #: Fixed forms.  A run of characters is entered from its start alone, and never given back:
 #: either saves trials that can't succeed, and changes no match.
@@ -183,46 +187,55 @@ def _word_seeds(words: DataFrame) -> DataFrame:
     return some.select("pattern", F.explode(F.array(*map(made, ALL_KINDS))).alias("seed")).filter("seed IS NOT NULL").select("pattern", "seed.*").distinct()
 
 
-def word_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: float = SUPPORT) -> DataFrame | None:
+def word_spans(
+    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rounds: int = ROUNDS, confidence: float = CONFIDENCE,
+    support: float = SUPPORT, share: float = SHARE,
+) -> DataFrame | None:
     """``(row_id, row_hash, start, end, kind)``: the values of trusted patterns of plain words; None if there is no such pattern.
 
     The texts are read again in each round, since the words of all texts are
-    too many to store: only those of patterns that have support are kept.
+    too many to store: only those of patterns that have support are kept, and
+    each pattern's words are looked up once.
     """
     words = _words(docs, text_col, id_col)
     value = F.regexp_extract("word", _WORD_VALUE, 1)
     scored = staged(_word_seeds(words).withColumn("score", F.lit(1.0)), "word_seeds")
-    trusted = hits = None
+    seeds = scored.select("value", "kind").distinct().groupBy("kind").agg(F.greatest(F.lit(support), share * F.count(F.lit(1))).alias("least"))
+    trusted = met = None
     for turn in range(rounds):
-        sums = staged(scored.groupBy("pattern", "kind").agg(F.sum("score").alias("support")).filter(F.col("support") >= support), "word_sums")
-        if sums.isEmpty():
+        sums = scored.groupBy("pattern", "kind").agg(F.sum("score").alias("support"))
+        sums = staged(sums.join(F.broadcast(seeds), "kind").filter(F.col("support") >= F.col("least")).drop("least"), "word_sums")
+        new = sums.select("pattern").distinct()
+        if met is not None:
+            new = staged(new.join(met.select("pattern").distinct(), "pattern", "left_anti"), "word_new")
+        if not new.isEmpty():
+            here = staged(words.join(new, "pattern").withColumn("value", value), "word_met")
+            met = here if met is None else met.unionByName(here)
+        if met is None:
             break
-        met = words.join(sums.select("pattern").distinct(), "pattern").select("pattern", F.xxhash64(value).alias("value"))
-        sizes = met.distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+        sizes = met.select("pattern", "value").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
         rated = sums.join(sizes, "pattern").withColumn("confidence", F.col("support") / (F.greatest("n", "support") + 1))
         best = rated.groupBy("pattern").agg(F.max(F.struct("confidence", "kind")).alias("best")).select("pattern", "best.*")
         trusted = staged(best.filter(F.col("confidence") >= confidence), "word_patterns")
         if turn == rounds - 1 or trusted.isEmpty():
             break
         # what the patterns found is looked for in other contexts; without new values all scores stay
-        hits = staged(words.join(trusted, "pattern").withColumn("value", value).filter("value != ''"), "word_hits")
-        carried = hits.groupBy("value", "kind").agg(F.max("confidence").alias("score"))
+        carried = met.join(trusted, "pattern").filter("value != ''").groupBy("value", "kind").agg(F.max("confidence").alias("score"))
         carried = staged(carried.join(scored.select("value", "kind").distinct(), ["value", "kind"], "left_anti"), "word_values")
         if carried.isEmpty():
             break
-        hits = None
         elsewhere = words.withColumn("value", value).join(carried, "value").select("pattern", "value", "kind", "score")
         scored = staged(scored.unionByName(elsewhere).groupBy("pattern", "value", "kind").agg(F.max("score").alias("score")), "word_scores")
     if trusted is None or trusted.isEmpty():
         return None
-    if hits is None:
-        hits = words.join(trusted, "pattern").filter(value != "")
+    hits = met.join(trusted, "pattern").filter("value != ''")
     hits = hits.groupBy("row_id", "row_hash", "pos").agg(F.max(F.struct("confidence", "kind")).alias("best"))
     places = hits.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("pos", F.col("best.kind").alias("kind"))).alias("hits"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(*_row_key(id_col, text), F.split(text, _GAP, -1).alias("words")).join(places, ["row_id", "row_hash"]).dropDuplicates(["row_id", "row_hash"])
-    each = rows.select("row_id", "row_hash", F.explode(F.transform("hits", lambda h: F.struct(
-        h["kind"].alias("kind"), F.get("words", h["pos"]).alias("word"), F.length(F.array_join(F.slice("words", F.lit(1), h["pos"]), "")).alias("before")
+    lengths = let(F.transform("words", lambda w: F.length(w)), lambda n: running(n, F.lit(0), lambda now, x: now + x))
+    each = rows.withColumn("at", lengths).select("row_id", "row_hash", F.explode(F.transform("hits", lambda h: F.struct(
+        h["kind"].alias("kind"), F.get("words", h["pos"]).alias("word"), F.get("at", h["pos"]).alias("before")
     ))).alias("h")).select("row_id", "row_hash", "h.*")
     start = F.col("before") + F.length(F.regexp_extract("word", _OPENS, 0))
     return each.select("row_id", "row_hash", start.alias("start"), (start + F.length(value)).alias("end"), "kind")
@@ -253,12 +266,10 @@ def find(docs: DataFrame, keep: list[str], text_col: str = "text", id_col: str =
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), *_row_key(id_col, text), base.alias("base_spans"))
     joined = rows.join(extra, ["row_id", "row_hash"], "left")
 
-    def free(spans_of: Column, taken: Column) -> Column:
-        return F.filter(spans_of, lambda x: ~F.exists(taken, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-
     labelled = free(F.coalesce("extra", F.array().cast(FOUND)), F.col("base_spans"))
-    more = F.concat(labelled, free(F.coalesce("worded", F.array().cast(FOUND)), F.concat("base_spans", labelled)))
-    return joined.select("row", "base_spans", F.array_sort(F.concat("base_spans", more)).alias("all_spans"))
+    some = joined.select("row", "base_spans", labelled.alias("labelled"), F.coalesce("worded", F.array().cast(FOUND)).alias("worded"))
+    worded = free(F.col("worded"), F.concat("base_spans", "labelled"))
+    return some.select("row", "base_spans", F.array_sort(F.concat("base_spans", "labelled", worded)).alias("all_spans"))
 
 
 def spans_text(found: Column) -> Column:
@@ -282,15 +293,22 @@ def summary(docs: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------ redaction
 def redacted(text: Column, found: Column) -> Column:
     """The text with every span replaced by its kind in brackets; spans that overlap are replaced as one."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(seen: Column, x: Column) -> Column:
-        apart = x["start"] >= seen["at"]
-        cut = F.array(F.substring(text, seen["at"] + 1, x["start"] - seen["at"]), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
-        return F.struct(F.greatest(seen["at"], x["end"]).alias("at"), F.when(apart, F.concat(seen["out"], cut)).otherwise(seen["out"]).alias("out"))
-
-    done = F.aggregate(found, start, step)
-    return F.when(F.size(found) == 0, text).otherwise(F.concat(F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.length(text))))
+    def cut(ordered: Column) -> Column:
+        # where the text before a span begins: at the furthest end of those before it
+        at = running(ordered, F.lit(0), lambda now, x: F.greatest(now, x["end"]))
+        each = F.zip_with(ordered, at, lambda x, now: F.struct(now.alias("from"), x["start"].alias("to"), x["kind"].alias("kind")))
+        return let(F.filter(each, lambda x: x["to"] >= x["from"]), lambda cuts: F.array_join(F.transform(blocks(cuts), written), ""))
+
+    def written(some: Column) -> Column:
+        """One block: its part of the text is taken once, so that the whole text isn't counted through for each span."""
+        first, last = F.get(some, F.lit(0))["from"], F.element_at(some, -1)["to"]
+        part = F.substring(text, first + 1, last - first)
+        return let(part, lambda own: F.array_join(F.transform(some, lambda x: F.concat(
+            F.substring(own, x["from"] - first + 1, x["to"] - x["from"]), F.lit("["), F.upper(x["kind"]), F.lit("]")
+        )), ""))
+
+    rest = F.substring(text, F.array_max(F.transform(found, lambda x: x["end"])) + 1, F.length(text))
+    return F.when(F.size(found) == 0, text).otherwise(F.concat(let(found, cut), rest))
 
 
 def redact(docs: DataFrame) -> DataFrame:

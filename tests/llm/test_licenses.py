@@ -1,4 +1,5 @@
 import re
+import time
 
 import pyarrow.parquet as pq
 
@@ -75,3 +76,18 @@ def test_every_rule_is_reached():
 def test_native_plan(spark, sf):
     plan = queries.QUERIES["op2_license_scan"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Join", "Exchange"))
+
+
+def test_time_grows_with_the_matches(spark):
+    """A text of 40,000 base phrases and as many detections is scanned in time that grows with their number."""
+    def seconds(n):
+        text = "under the MIT license, " * n
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.time()
+        (row,) = licenses.summary(licenses.scan(docs)).collect()
+        assert row["n_base"] == n and row["last_word"] == 4 * (n - 1) and "mit" in row["labels"]
+        return time.time() - start
+
+    seconds(100)
+    few, many = seconds(20_000), seconds(40_000)
+    assert many < 2.5 * few + 2, (few, many)

@@ -1,7 +1,8 @@
 import hashlib
 import random
 import re
-from collections import Counter
+import time
+from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
 
@@ -181,6 +182,113 @@ def test_contexts_of_words(spark):
     assert all(got[i] == f"x{i} {i}y you may ring Anna [PHONE] today or z{i}" for i in range(8))
 
 
+def words_of(text):
+    """``(start, word with the white space after it)``: pieces as they are asked for, letter by letter."""
+    blank, cuts = set(" \t\n\r\f\v"), [0]
+    for i in range(1, len(text)):
+        if text[i - 1] in blank and text[i] not in blank:
+            number = text[i - 1] == " " and i > 1 and text[i - 2] in "0123456789)" and re.match(r"\(?[0-9]", text[i : i + 2])
+            if not number:
+                cuts.append(i)
+    return [(a, text[a:b]) for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+
+
+def brute_words(texts):
+    """``{(text number, start, end): kind}`` of the values of trusted word patterns, by plain loops over all words."""
+    plain = lambda w: w.rstrip(" \t\n\f\v\r").lower()
+    opens, value_of = re.compile(r"[\"'\[<{]*"), re.compile(r"[^\t\n\x0B\f\r\"',;]*[^\s\"',;.!?)]", re.ASCII)
+    places, seeds = [], defaultdict(set)
+    for t, text in enumerate(texts):
+        words = words_of(text or "")
+        for k, (start, word) in enumerate(words):
+            last, second = (words[k - 1][1] if k else ""), (words[k - 2][1] if k > 1 else "")
+            after = words[k + 1][1] if k + 1 < len(words) else ""
+            at = opens.match(word).end()
+            value = value_of.match(word[at:])
+            value = value[0] if value else ""
+            near = [f"{plain(second)} {plain(last)} _"] * bool(second and last) + [f"{plain(last)} _ {plain(after)}"] * bool(last and after)
+            places += [(p, value, t, start + at, start + at + len(value)) for p in near]
+            for kind, form in {**ASKED, "secret": r"(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{16,}(?![0-9A-Za-z])"}.items():
+                m = re.match(form, word[at:])
+                if m and (kind == "secret" or valid(kind, m[0])):
+                    for p in near:
+                        seeds[kind].add((p, m[0]))
+    scores = {(p, v, kind): 1.0 for kind in seeds for p, v in seeds[kind]}
+    least = {kind: max(pii.SUPPORT, pii.SHARE * len({v for _, v in s})) for kind, s in seeds.items()}
+    values = defaultdict(set)
+    for p, value, *_ in places:
+        values[p].add(value)
+    trusted = {}
+    for turn in range(pii.ROUNDS):
+        support = Counter()
+        for (p, _, kind), x in scores.items():
+            support[p, kind] += x
+        rated = defaultdict(lambda: (0, ""))
+        for (p, kind), x in support.items():
+            if x >= least[kind]:
+                rated[p] = max(rated[p], (x / (max(len(values[p]), x) + 1), kind))
+        trusted = {p: x for p, x in rated.items() if x[0] >= pii.CONFIDENCE}
+        known = {(v, kind) for _, v, kind in scores}
+        found = {}
+        for p, (c, kind) in trusted.items():
+            for v in values[p]:
+                if v and (v, kind) not in known:
+                    found[v, kind] = max(found.get((v, kind), 0), c)
+        if turn == pii.ROUNDS - 1 or not found:
+            break
+        for p, v, *_ in places:
+            for kind in pii.ALL_KINDS:
+                if (v, kind) in found:
+                    scores[p, v, kind] = max(scores.get((p, v, kind), 0), found[v, kind])
+    hits = {}
+    for p, value, t, a, b in places:
+        if p in trusted and value:
+            hits[t, a, b] = max(hits.get((t, a, b), (0, "")), trusted[p])
+    return {where: kind for where, (_, kind) in hits.items()}
+
+
+def test_word_patterns_against_brute_force(spark):
+    """All documents of a scale, with identifiers after plain words among them: every place that the patterns find."""
+    docs = pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pandas()
+    texts = docs.text.tolist()
+    rng = random.Random(3)
+    for i in range(30):
+        texts[i] = (texts[i] or "") + f" please ring Anna {rng.choice(['+1 (171) 555-20', '+44 20 7946 0'])}{10 + i} before noon"
+        texts[30 + i] = (texts[30 + i] or "") + f" write to my box {i}q{i}@mail.example thanks"
+    texts[70] += " please ring Anna 0171 555 2028 before noon, write to my box anna-at-b thanks"
+    texts[71] += "\nplease ring\tAnna extension-seven before noon. Or see extension-seven here"
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(int(r["row_id"]), r["start"], r["end"]): r["kind"] for r in pii.word_spans(df).collect()}
+    want = brute_words(texts)
+    assert got == want and sum(k == "phone" for k in want.values()) >= 31 and any(t == 70 and k == "email" for (t, _, _), k in want.items())
+
+
+def test_share_of_seeds_keeps_chance_out(spark):
+    """Pairs of common words stand around some seeds whatever their number; they are no patterns."""
+    rng = random.Random(11)
+    rows = [" ".join(rng.choice(["of the", "in a", "to an", "by his", "at her"]) for _ in range(30)) + f" u{i} v{i} +1 (171) 555-{2000 + i} end" for i in range(600)]
+    rows += [f"of the +1 (171) 556-{3000 + i} x{i}" for i in range(5)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    words = pii._words(docs, "text", "doc_id")
+    assert pii._word_seeds(words).filter("pattern = 'of the _'").count() == 5 > pii.SUPPORT
+    assert pii.word_spans(docs) is None
+
+
+def test_time_grows_with_the_matches(spark):
+    """Texts of many matches: twice as many take at most two and a half times as long."""
+    def seconds(n):
+        text = " ".join(f"a{i}@b.co password={i}hunter" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.time()
+        (row,) = pii.redact(docs).collect()
+        assert row["text"].count("[EMAIL]") == n and len(row["text"]) < len(text)
+        return time.time() - start
+
+    seconds(100)
+    few, many = seconds(20_000), seconds(40_000)
+    assert many < 2.5 * few + 2, (few, many)
+
+
 def test_native_plan(spark, sf):
     plan = queries.QUERIES["op5_pii"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
