@@ -18,8 +18,10 @@ with one id are documents of their own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import itertools
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -34,14 +36,21 @@ from pairloom.session import staged
 WINDOW = 2048
 END_ID = 1
 
-#: Stretches that a Python worker remembers before it starts anew.
-MAX_KNOWN = 200_000
+#: Stretches of a generation: a Python worker remembers those met in the current and in the one before.
+GENERATION = 100_000
+#: Characters that the tokenizer gets in one piece; longer pieces cost more a character.
+_PART_CHARS = 20_000
 _GAPS = re.compile("[ \n\r\t]+")
 #: Characters whose small letter, composition or kind is not plain (the dotted capital I among them), or that start a special token.
 _BEYOND_LATIN = re.compile("[\u0130\u0250-\U0010ffff]|<\\|")
 _L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 _KINDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
+#: The letters that stand for bytes in byte-level tokens: visible signs for themselves, all others in turn for 256 and on.
+_VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_BYTE_LETTERS = "".join(_OTHERS.get(b, chr(b)) if b != 0x20 else " " for b in range(256))
+
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 _PLAN = "length long, first_rank long, pieces long, windows long, first_sequence long, first_offset long"
 
@@ -52,8 +61,10 @@ class _Words:
     The tokenizer never joins characters across white space, so a text's ids
     are those of its white-space separated stretches.  A text of Latin letters
     alone is also cut by kind of character and put into small letters, as the
-    tokenizer itself does before its merges.  The memory of stretches lasts as
-    long as the Python worker, and starts anew when full.
+    tokenizer itself does before its merges; the last token of such a stretch
+    is marked as the end of a word, so no offsets are needed.  The memory of
+    stretches lasts as long as the Python worker.  When it is full those not
+    met since it was last full are forgotten, so common ones stay.
     """
 
     def __init__(self, tokenizer_path: str) -> None:
@@ -61,18 +72,46 @@ class _Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        # the same merges without what comes before them: it is done for whole lines of words at once
+        bare = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.bare = Tokenizer.from_str(json.dumps(bare))
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(1 + max(vocabulary.values()), dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        split = [_GAPS.split(t) if _BEYOND_LATIN.search(t) else _KINDS.findall(t.lower()) for t in texts]
-        if len(self.known) > MAX_KNOWN:
-            self.known.clear()
-        new = list(set(itertools.chain.from_iterable(split)).difference(self.known))
-        self.known.update(zip(new, self._encoded(new), strict=True))
+        beyond = [bool("<|" in t if t.isascii() else _BEYOND_LATIN.search(t)) for t in texts]
+        split = [_GAPS.split(t) if b else _KINDS.findall(t.lower()) for t, b in zip(texts, beyond, strict=True)]
+        if len(self.known) > GENERATION:
+            self.known, self.older = {}, self.known
+        for kind, encoded in ((False, self._words_encoded), (True, self._encoded)):
+            met = set(itertools.chain.from_iterable(itertools.compress(split, [b is kind for b in beyond]))).difference(self.known)
+            again = {w: self.older[w] for w in met if w in self.older}
+            self.known.update(again)
+            new = list(met.difference(again)) if again else list(met)
+            if new:
+                self.known.update(zip(new, encoded(new), strict=True))
         for words in split:
             yield b"".join(map(self.known.__getitem__, words))
 
+    def _words_encoded(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words that the tokenizer takes as one each: a word's last token tells that it ends."""
+        line, _ = codecs.charmap_decode(" ".join(words).encode("utf-8"), "strict", _BYTE_LETTERS)
+        cuts, at = [0], _PART_CHARS
+        while at < len(line) and (at := line.find(" ", at)) >= 0:
+            cuts.append(at)
+            at += _PART_CHARS
+        parts = [line[a:b] for a, b in itertools.pairwise([*cuts, len(line)])]
+        found = np.concatenate([np.array(e.ids, dtype="<u4") for e in self.bare.encode_batch_fast(parts, add_special_tokens=False)])
+        bounds = (4 * np.flatnonzero(self.ends[found]) + 4).tolist()
+        if len(bounds) != len(words) or bounds[-1] != 4 * len(found):
+            return self._encoded(words)
+        ids = found.tobytes()
+        return (ids[a:b] for a, b in itertools.pairwise([0, *bounds]))
+
     def _encoded(self, words: list[str]) -> Iterator[bytes]:
         """Ids of each stretch, from one call for all: offsets tell the stretch of an id."""
         found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
