@@ -20,8 +20,11 @@ from pairloom.llm import jaccard_join, language, packing, pii, samples, toxicity
 from pairloom.llm.batches import small_batches
 from pairloom.session import staged
 
-#: A text this far from every language is no text of any of them.
-LEAST_COSINE = 0.05
+#: A text of no learned language meets a prototype by chance only: its cosine then has a standard
+#: deviation of one by the root of the dimensions.  Texts within so many of them are of no learned language;
+#: one text in some 500 of foreign script is let through, and learned texts of a few words score just above.
+NOISE_DEVIATIONS = 3.25
+LEAST_COSINE = NOISE_DEVIATIONS / language.DIMENSIONS**0.5
 TOXIC = 0.5
 
 
