@@ -7,9 +7,12 @@ texts is split again by one or two tokens that its path chooses, 1/threshold
 on average, so that a pair at the threshold is expected in one child.  Buckets
 of at most SMALL texts, and those after DEPTH splits, are searched through; the
 latter in tiles of bounded size.  Runs are repeated until a pair at the
-threshold is missed with a probability of at most 1 - RECALL; nearer pairs are
-missed far less often.  Every link that is returned was checked on the whole
-shingle sets.
+threshold would be missed with a probability of at most 1 - RECALL if they were
+independent.  They draw on the same TOKENS values, so averaged over the equal
+tokens of a pair at a similarity of 0.8 the miss is 2.1e-4 in buckets that are
+split to the full depth, and none in buckets that are searched before; nearer
+pairs are missed far less often.  Every link that is returned was checked on the
+whole shingle sets.
 
 A pair that meets in several buckets is counted in the first: each text brings
 the list of its buckets, so that a bucket can tell.  A bucket returns a sum for
@@ -56,7 +59,7 @@ def _two_children(threshold: float) -> float:
 
 
 def runs_needed(recall: float, threshold: float = THRESHOLD, depth: int = DEPTH) -> int:
-    """Runs until a pair at the threshold is met with probability ``recall``, if all buckets are split ``depth`` times."""
+    """Runs until a pair at the threshold is met with probability ``recall``, if all buckets are split ``depth`` times and runs are independent."""
     second, lost = _two_children(threshold), 0.0
     for _ in range(depth - 1):
         one = 1 - threshold * (1 - lost)

@@ -80,3 +80,19 @@ def test_odd_rows(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert cp.identify_language(spark, docs, SF).filter(F.col("text").isNull()).count() == 0
     assert cp.drop_toxic(spark, docs, SF).columns == docs.columns
+
+
+def test_unlearned_languages_go(spark):
+    """Texts in scripts that no learned language has go, but for one in some hundreds; learned texts stay, short ones too."""
+    rng = np.random.default_rng(0)
+    foreign = ["".join(map(chr, rng.integers(low, high, 60))) for low, high in ((0x4E00, 0x9000), (0x430, 0x450), (0x3B1, 0x3C9)) for _ in range(300)]
+    foreign += ["Все люди рождаются свободными и равными в своем достоинстве и правах", "すべての人間は、生まれながらにして自由であり"]
+    known = [r["text"] for r in pq.read_table(f"{SF}/documents.parquet").to_pylist() if r["text"] and r["n_chars"] > 100]
+    short = [" ".join(t.split()[:8]) for t in known]
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "", "", 1) for i, t in enumerate([*foreign, *known, *short])], columns)
+    kept = {r["doc_id"] for r in cp.identify_language(spark, docs, SF).select("doc_id").collect()}
+    n = len(foreign)
+    assert len([i for i in kept if i < n]) <= 0.01 * n
+    assert len([i for i in kept if n <= i < n + len(known)]) >= 0.995 * len(known)
+    assert len([i for i in kept if i >= n + len(known)]) >= 0.97 * len(short)
