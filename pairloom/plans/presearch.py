@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.functions.similarity import lev_above
-from pairloom.operators.blocks import hot_blocks
+from pairloom.operators.blocks import celled_join, hot_blocks
 from pairloom.operators.columns import SUFFIX
 from pairloom.operators.keys import Key, Route, block_keys, single_key
 from pairloom.operators.pairs import PAIR, best_key
+from pairloom.operators.similar import similar_values
+from pairloom.session import staged
 
 CARRIED = ["id", "fn", "fn1", "fn2", "sn1", "fn1_nickname", "dob", "age"]
 
@@ -19,8 +21,11 @@ def _alike(column: str, threshold: float):
     return lev_above(F.col(f"{column}_r"), F.col(f"{column}_l"), threshold)
 
 
+NAMES_ALIKE = 0.6
+
+
 def _names_alike():
-    return _alike("fn1", 0.6) & _alike("sn1", 0.6)
+    return _alike("fn1", NAMES_ALIKE) & _alike("sn1", NAMES_ALIKE)
 
 
 PASSES: tuple[Key, ...] = (
@@ -52,18 +57,43 @@ def unlinked(people: DataFrame, links: DataFrame, side: str) -> DataFrame:
     return people.join(links.select(f"id{SUFFIX[side]}").distinct(), f"id{SUFFIX[side]}", "left_anti")
 
 
+def alike_names(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
+    """``(value_l, value_r)``, stored: pairs of names of the two sides that are alike.  Each pair is compared once."""
+    values = [df.select(F.col(name + s).alias("value" + s)) for df, s in ((left, "_l"), (right, "_r"))]
+    return staged(similar_values(*values, NAMES_ALIKE), f"alike_{name}")
+
+
+def names_alike_pairs(left: DataFrame, right: DataFrame, block: str, first: DataFrame, last: DataFrame) -> DataFrame:
+    """Pairs that agree on ``block`` and have both names alike, by equality alone.
+
+    A left person is joined under each last name alike to theirs, so only
+    people of one block with alike last names meet; their first names are looked
+    up among the alike pairs.
+    """
+    under = left.join(last, F.col("sn1_l") == F.col("value_l")).select(*left.columns, F.col("value_r").alias("under_l"))
+    met = celled_join(under, right.withColumn("under_r", F.col("sn1_r")), [block, "under"])
+    return met.join(first, (F.col("fn1_l") == F.col("value_l")) & (F.col("fn1_r") == F.col("value_r")), "left_semi").select(*PAIR).distinct()
+
+
+#: Passes that ask for both names alike in a block that is too wide to compare all its people.
+NAME_PASSES = {1: "dob", 2: "age"}
+
+
 def presearch_pairs(left: DataFrame, right: DataFrame, number: int) -> DataFrame:
     """Distinct pairs one pass finds; frequent names and ages are cut into cells.
 
     Passes 5 to 7 ask for two equal names only, so their result is as large as
     the product of the namesakes of both files.
     """
-    return single_key(searchable(left, "left"), searchable(right, "right"), BY_NUMBER[number], PAIR)
+    left, right = searchable(left, "left"), searchable(right, "right")
+    if number in NAME_PASSES:
+        return names_alike_pairs(left, right, NAME_PASSES[number], alike_names(left, right, "fn1"), alike_names(left, right, "sn1"))
+    return single_key(left, right, BY_NUMBER[number], PAIR)
 
 
 # Passes 3 and 4 ask for more than 8 and 10 on the same columns, but come first.
 BLOCKS: dict[Route, tuple[int, ...]] = {
-    ("dob",): (1,), ("age",): (2,), ("fn1", "dob"): (3, 8), ("sn1", "dob"): (4, 10), ("fn1", "sn1"): (5,), ("fn2", "sn1"): (6,),
+    ("fn1", "dob"): (3, 8), ("sn1", "dob"): (4, 10), ("fn1", "sn1"): (5,), ("fn2", "sn1"): (6,),
     ("fn1", "fn2"): (7,), ("fn2", "dob"): (9,), ("fn1_nickname", "sn1", "age"): (11,), ("sn1", "pc_then"): (12,),
 }
 
@@ -79,4 +109,8 @@ def presearch(left: DataFrame, right: DataFrame, links: DataFrame | None = None)
     left, right = searchable(left, "left"), searchable(right, "right")
     blocks = {block: [BY_NUMBER[n] for n in numbers] for block, numbers in BLOCKS.items()}
     parts = block_keys(left, right, blocks, PAIR, "search_pass", hot_blocks(left, right, list(blocks)))
+    first, last = alike_names(left, right, "fn1"), alike_names(left, right, "sn1")
+    parts += [
+        names_alike_pairs(left, right, block, first, last).withColumn("search_pass", F.lit(number)) for number, block in NAME_PASSES.items()
+    ]
     return best_key(reduce(DataFrame.unionByName, parts), "search_pass")
