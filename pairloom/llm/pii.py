@@ -230,7 +230,8 @@ def word_spans(
         return None
     hits = met.join(trusted, "pattern").filter("value != ''")
     hits = hits.groupBy("row_id", "row_hash", "pos").agg(F.max(F.struct("confidence", "kind")).alias("best"))
-    places = hits.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("pos", F.col("best.kind").alias("kind"))).alias("hits"))
+    # stored, so that its size is known: while it is small no text is shuffled
+    places = staged(hits.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("pos", F.col("best.kind").alias("kind"))).alias("hits")), "word_places")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(*_row_key(id_col, text), F.split(text, _GAP, -1).alias("words")).join(places, ["row_id", "row_hash"]).dropDuplicates(["row_id", "row_hash"])
     lengths = let(F.transform("words", lambda w: F.length(w)), lambda n: running(n, F.lit(0), lambda now, x: now + x))
@@ -260,7 +261,7 @@ def find(docs: DataFrame, keep: list[str], text_col: str = "text", id_col: str =
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = staged(candidates(docs, text_col, id_col), "candidates")
-    extra = _discovered(found, patterns(found), word_spans(docs, text_col, id_col))
+    extra = staged(_discovered(found, patterns(found), word_spans(docs, text_col, id_col)), "discovered")
     base = F.array_sort(F.flatten(F.array(*[form_spans(text, kind) for kind in KINDS])))
     # the names of a fresh struct can't clash with those of the rows
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), *_row_key(id_col, text), base.alias("base_spans"))
