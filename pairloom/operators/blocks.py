@@ -7,6 +7,10 @@ communal address, a placeholder postcode) would keep one task busy for ever.
 the hot ones into a grid of cells, each a separate join key: left rows are
 spread over the grid's rows and copied along its columns, right rows the other
 way round, so every pair of rows meets in exactly one cell.
+
+A block may also name a member of a set that both rows hold, such as
+``dob_member`` for ``dob_set``.  Rows then meet once for each member, not with
+the whole block, and a pair is kept at the least member it shares.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pairloom.operators.columns import SUFFIX
 from pairloom.session import checkpoint_dir
 
 CELL_ROWS = 2_000  # rows of a side per cell: some millions of comparisons per task
+MEMBER = "_member"  # ends the names of columns that stand for one member of the set of that name
 MAX_HOT_BLOCKS = 50_000  # rows of the hot list, which is broadcast: under 2 MB
 
 
@@ -28,23 +33,61 @@ def same(*columns: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c + SUFFIX["left"]) == F.col(c + SUFFIX["right"]) for c in columns])
 
 
+def set_of(member: str) -> str:
+    """The set a member column is taken from."""
+    return member.removesuffix(MEMBER) + "_set"
+
+
+def member_of(on: Sequence[str]) -> str | None:
+    """The member column of a block, which stands last, if it has one."""
+    return on[-1] if on[-1].endswith(MEMBER) else None
+
+
+def shared(member: str) -> Column:
+    """Both sides' sets have a member in common."""
+    return F.arrays_overlap(*[F.col(set_of(member) + s) for s in SUFFIX.values()])
+
+
+def _at_least_shared(member: str) -> Column:
+    """The member at which a pair meets is the least one its sets share."""
+    both = F.array_intersect(*[F.col(set_of(member) + s) for s in SUFFIX.values()])
+    return F.array_min(both) == F.col(member + SUFFIX["left"])
+
+
 def _key_hash(on: Sequence[str], side: str) -> Column:
     return F.xxhash64(*[F.col(c + SUFFIX[side]) for c in on])
 
 
 def _blockable(df: DataFrame, on: Sequence[str], side: str) -> DataFrame:
-    """Rows that can match at all: every blocking column is known."""
-    return df.dropna(subset=[c + SUFFIX[side] for c in on])
+    """Rows that can match at all: every blocking column is known.  One row for each member, where a block names one."""
+    s, member = SUFFIX[side], member_of(on)
+    known = df.dropna(subset=[c + s for c in on if c != member])
+    if member is None:
+        return known
+    return known.select("*", F.explode(set_of(member) + s).alias(member + s)).dropna(subset=[member + s])
 
 
 def _block_keys(df: DataFrame, side: str, blocks: Sequence[Sequence[str]]) -> DataFrame:
     """``(block, key_hash)`` of every block a row can match in, from one pass over the rows."""
+    s = SUFFIX[side]
+
     def known(on: Sequence[str]) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(c + SUFFIX[side]).isNotNull() for c in on])
+        return reduce(lambda a, b: a & b, [F.col(c + s).isNotNull() for c in on])
+
+    def key(n: int, key_hash: Column) -> Column:
+        return F.struct(F.lit(n).alias("block"), key_hash.alias("key_hash"))
+
+    def by_member(n: int, on: Sequence[str], member: str) -> Column:
+        places = [c for c in on if c != member]
+        each = F.transform(F.col(set_of(member) + s), lambda m: key(n, F.xxhash64(*[F.col(c + s) for c in places], m)))
+        return F.when(known(places), each)
 
-    keys = [F.when(known(on), F.struct(F.lit(n).alias("block"), _key_hash(on, side).alias("key_hash")))
-            for n, on in enumerate(blocks)]
-    return df.select(F.explode(F.array_compact(F.array(*keys))).alias("key")).select("key.*")
+    plain = [F.when(known(on), key(n, _key_hash(on, side))) for n, on in enumerate(blocks) if not member_of(on)]
+    keys = [F.array_compact(F.array(*plain))] if plain else []
+    for n, on in enumerate(blocks):
+        if member := member_of(on):
+            keys.append(F.coalesce(by_member(n, on, member), F.array().cast("array<struct<block:int,key_hash:bigint>>")))
+    return df.select(F.explode(keys[0] if len(keys) == 1 else F.concat(*keys)).alias("key")).select("key.*")
 
 
 def hot_blocks(left: DataFrame, right: DataFrame, blocks: Sequence[Sequence[str]], cell_rows: int | None = None):
@@ -95,13 +138,15 @@ def block_join(
     ``where`` is part of the join condition, so failing pairs never leave it.
     ``hot`` is this block's part of ``hot_blocks``, if any.
     """
+    columns, member = left.columns + right.columns, member_of(on)
     left, right = _blockable(left, on, "left"), _blockable(right, on, "right")
     condition = same(*on)
+    if member is not None:
+        condition = condition & _at_least_shared(member)
     if where is not None:
         condition = condition & where
     if hot is None:
-        return left.join(right, condition, "inner")
-    columns = left.columns + right.columns
+        return left.join(right, condition, "inner").select(*columns)
     left, right = _in_cells(left, "left", on, hot), _in_cells(right, "right", on, hot)
     cell = (F.col("cell_l_l") == F.col("cell_l_r")) & (F.col("cell_r_l") == F.col("cell_r_r"))
     return left.join(right, condition & cell, "inner").select(*columns)

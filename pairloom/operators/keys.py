@@ -1,7 +1,8 @@
 """Match keys as data, run one by one or all together.
 
 A key is one or more routes (columns that must be equal on both sides) and a
-rule on what is left.  One key alone is a join per route.  Many keys together
+rule on what is left.  A route may end in a member of a set both sides hold, such as
+``dob_member``.  One key alone is a join per route.  Many keys together
 are joined once per block, not once per key: a pair met in a block gets the
 lowest key it satisfies there, and the lowest over all blocks is the pair's key.
 """
@@ -14,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.operators.blocks import block_join, hot_blocks, hot_part, same
+from pairloom.operators.blocks import block_join, hot_blocks, hot_part, member_of, same, shared
 
 Route = tuple[str, ...]
 
@@ -48,7 +49,9 @@ def holds_in(block: Route, key: Key, implied: frozenset[str] = frozenset()) -> C
     """
     def condition(route: Route) -> Column:
         rest = [c for c in route if c not in block and c not in implied]
-        parts = ([same(*rest)] if rest else []) + ([key.rule()] if key.rule else [])
+        member = member_of(rest) if rest else None
+        plain = [c for c in rest if c != member]
+        parts = ([same(*plain)] if plain else []) + ([shared(member)] if member else []) + ([key.rule()] if key.rule else [])
         return all_of(parts) if parts else F.lit(True)
 
     return any_of([condition(route) for route in key.routes if set(block) - implied <= set(route)])

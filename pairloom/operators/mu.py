@@ -46,10 +46,12 @@ def _known_so_far(variables: Sequence[str], upto: int, sides: Sequence[str]) ->
 def random_pairs(
     left: DataFrame, right: DataFrame, variables: Sequence[str] = SCORE_VARIABLES, seed: str = "u"
 ) -> DataFrame:
-    """Both files in a seeded random order, paired by position; the longer one's tail stays unpaired."""
+    """Both files in a seeded random order, paired by position; the longer one's tail stays unpaired and is never sorted."""
+    shorter = F.least(*[df.select(F.count(F.lit(1)).alias("n")).scalar() for df in (left, right)])
+
     def placed(df: DataFrame, s: str) -> DataFrame:
         wanted = df.select(f"id{s}", f"fn1_nickname{s}", *[v + s for v in variables])
-        return numbered(wanted, shuffled_order(F.col(f"id{s}"), seed + s), [f"fn1_nickname{s}"], "place")
+        return numbered(wanted, shuffled_order(F.col(f"id{s}"), seed + s), [f"fn1_nickname{s}"], "place", shorter)
 
     return placed(left, "_l").join(placed(right, "_r"), "place").drop("place")
 

@@ -19,9 +19,12 @@ def shuffled_order(key: Column, seed: str = "") -> Column:
     return F.md5(F.concat(F.lit(seed), key).cast("binary"))
 
 
-def numbered(df: DataFrame, order: Column, ties: list[str], name: str) -> DataFrame:
+def numbered(df: DataFrame, order: Column, ties: list[str], name: str, upto: Column | None = None) -> DataFrame:
     """Rows numbered by a hex digest (then by ``ties``), as one global ``row_number`` would.
 
+    With ``upto`` only rows whose number is at most that: buckets behind it leave
+    in the broadcast join, before anything is shuffled or sorted.
+
     Digests are uniform, so their leading digits cut the rows into even,
     ordered buckets.  Rows are numbered inside their bucket and shifted by the
     sizes of the buckets before it; that table has a few rows a shuffle partition
@@ -32,6 +35,9 @@ def numbered(df: DataFrame, order: Column, ties: list[str], name: str) -> DataFr
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_shift"))
+    if upto is not None:
+        shifts = shifts.filter(F.col("_shift") < upto)
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("_order", *ties))
-    placed = bucketed.withColumn("_inside", inside).join(F.broadcast(shifts), "_bucket")
-    return placed.select(*df.columns, (F.col("_shift") + F.col("_inside")).alias(name))
+    placed = bucketed.join(F.broadcast(shifts), "_bucket").withColumn("_inside", inside)
+    placed = placed.select(*df.columns, (F.col("_shift") + F.col("_inside")).alias(name))
+    return placed if upto is None else placed.filter(F.col(name) <= upto)

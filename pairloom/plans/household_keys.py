@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairloom.functions import sets as st
 from pairloom.operators.blocks import hot_blocks, same
 from pairloom.operators.columns import SUFFIX, count_by
-from pairloom.operators.keys import Key, Route, all_of, any_of, block_keys, single_key
+from pairloom.operators.keys import Key, Route, any_of, block_keys, single_key
 from pairloom.operators.pairs import best_key
 
 HH_PAIR = ["hh_id_l", "hh_id_r"]
@@ -64,9 +64,9 @@ def two_answers_agree() -> Column:
 
 
 def enough_dobs(big: int) -> Column:
-    """A shared birth date; households of ``big`` or more on both sides need two."""
+    """Households that share a birth date need two if both hold ``big`` people or more."""
     both_big = (F.col("hh_size_l") >= big) & (F.col("hh_size_r") >= big)
-    return share("dob") & ~((shared_dobs() == 1) & both_big)
+    return ~((shared_dobs() == 1) & both_big)
 
 
 def no_flats() -> Column:
@@ -94,33 +94,33 @@ def a_name(test, threshold: float) -> Column:
 ANSWERS = ("tenure", "typaccom", "no_resi")
 
 KEYS: tuple[Key, ...] = (
-    Key(1, (("uprn",),), lambda: all_of([share("fn"), share("sn"), share("dob")])),
+    Key(1, (("uprn", "dob_member"),), lambda: share("fn") & share("sn")),
     Key(2, (("uprn", *ANSWERS),), lambda: share("fn") | share("sn")),
-    Key(3, (("uprn",),), lambda: two_answers_agree() & (share("fn") | share("sn")) & share("dob")),
-    Key(4, (("uprn",),), lambda: share("sn") & share("dob")),
-    Key(5, (("uprn",),), lambda: share("dob") & names(alike, 0.80, 0.80)),
-    Key(6, (("uprn",),), lambda: share("dob") & names(sound_alike, 0.80, 0.80)),
-    Key(7, (("uprn", *ANSWERS),), lambda: enough_dobs(4) & names(alike, 0.60, 0.60)),
-    Key(8, (("uprn", *ANSWERS),), lambda: enough_dobs(4) & names(sound_alike, 0.60, 0.60)),
-    Key(9, (("uprn", *ANSWERS),), lambda: share("dob") & a_name(alike, 0.80)),
+    Key(3, (("uprn", "dob_member"),), lambda: two_answers_agree() & (share("fn") | share("sn"))),
+    Key(4, (("uprn", "dob_member"),), lambda: share("sn")),
+    Key(5, (("uprn", "dob_member"),), lambda: names(alike, 0.80, 0.80)),
+    Key(6, (("uprn", "dob_member"),), lambda: names(sound_alike, 0.80, 0.80)),
+    Key(7, (("uprn", *ANSWERS, "dob_member"),), lambda: enough_dobs(4) & names(alike, 0.60, 0.60)),
+    Key(8, (("uprn", *ANSWERS, "dob_member"),), lambda: enough_dobs(4) & names(sound_alike, 0.60, 0.60)),
+    Key(9, (("uprn", *ANSWERS, "dob_member"),), lambda: a_name(alike, 0.80)),
     Key(10, (("uprn", "dob_set"),), lambda: both_sized(1) & two_answers_agree() & a_name(alike, 0.50)),
     Key(11, (("uprn", "dob_set"),), lambda: both_sized(1) & two_answers_agree() & a_name(sound_alike, 0.60)),
     Key(12, (("uprn",),), lambda: both_sized(1) & two_answers_agree() & a_name(alike, 0.80)),
     Key(13, (("uprn",),), lambda: both_sized(1) & two_answers_agree() & a_name(sound_alike, 0.90)),
-    Key(14, (("pc",),), lambda: all_of([share("fn"), share("sn"), share("dob")])),
-    Key(15, (("pc", *ANSWERS),), lambda: share("fn") & share("sn")),
-    Key(16, (("pc",),), lambda: two_answers_agree() & (share("fn") | share("sn")) & share("dob")),
-    Key(17, (("pc", *ANSWERS),), lambda: enough_dobs(3) & a_name(alike, 0.80)),
-    Key(18, (("pc", *ANSWERS),), lambda: enough_dobs(3) & a_name(sound_alike, 0.80)),
+    Key(14, (("pc", "dob_member"),), lambda: share("fn") & share("sn")),
+    Key(15, (("pc", *ANSWERS, "fn_member"),), lambda: share("sn")),
+    Key(16, (("pc", "dob_member"),), lambda: two_answers_agree() & (share("fn") | share("sn"))),
+    Key(17, (("pc", *ANSWERS, "dob_member"),), lambda: enough_dobs(3) & a_name(alike, 0.80)),
+    Key(18, (("pc", *ANSWERS, "dob_member"),), lambda: enough_dobs(3) & a_name(sound_alike, 0.80)),
     Key(19, (("pc", "sn_set", "fn_set"),)),
-    Key(20, (("pc", "house_no"),), lambda: two_answers_agree() & share("fn") & share("sn") & share_ages()),
+    Key(20, (("pc", "house_no", "fn_member"),), lambda: two_answers_agree() & share("sn") & share_ages()),
     Key(21, (("uprn",),), two_kinds_shared),
     Key(22, (("uprn", "hh_size"),), lambda: names(sound_alike, 0.80, 0.80)),
     Key(23, (("pc_sect", "house_no", "hh_size"),), lambda: share("fn") & share("sn") & (shared_dobs() >= 2)),
     Key(24, (("uprn", "age_set", "hh_size"),)),
     Key(25, (("pc", "flat_no", "house_no", "hh_size"),), any_member_shared),
-    Key(26, (("pc", "flat_no", "hh_size"),), lambda: share("fn") & share("dob")),
-    Key(27, (("pc", "flat_no", "hh_size"),), lambda: share("sn") & share("dob")),
+    Key(26, (("pc", "flat_no", "hh_size", "dob_member"),), lambda: share("fn")),
+    Key(27, (("pc", "flat_no", "hh_size", "dob_member"),), lambda: share("sn")),
     Key(28, (("uprn",),), lambda: both_sized(1) & any_member_shared()),
     Key(29, (("pc", "house_no"),), lambda: both_sized(1) & any_member_shared()),
     Key(30, (("uprn",),), lambda: no_flats() & share_ages() & names(sound_alike, 0.80, 0.70)),
@@ -128,9 +128,13 @@ KEYS: tuple[Key, ...] = (
 )
 BY_NUMBER = {k.number: k for k in KEYS}
 
+#: A dwelling is small, a postcode is not: there households meet by something they hold besides.
 BLOCKS: dict[Route, tuple[int, ...]] = {
     ("uprn",): (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 21, 22, 24, 28, 30),
-    ("pc",): (14, 15, 16, 17, 18, 19, 20, 25, 26, 27, 29, 31),
+    ("pc", "dob_member"): (14, 16, 17, 18, 26, 27),
+    ("pc", "fn_member"): (15, 20),
+    ("pc", "house_no"): (25, 29, 31),
+    ("pc", "sn_set", "fn_set"): (19,),
     ("pc_sect", "house_no"): (23,),
 }
 
