@@ -7,7 +7,8 @@ A query descends in every tree to its longest matching prefixes and then
 ascends in all trees at once, one level at a time.  All vectors under the
 reached prefixes are candidates; levels are never cut short.  It stops as soon as a
 vector as near as the k-th best candidate would have been met with
-probability ``recall``.  Candidates are scored exactly, in double precision.
+probability ``recall``.  Candidates are scored exactly, in double precision, when they are first
+met; no product of a vector that wasn't met is worked out.
 
 Every query meets every block, so work grows with queries times vectors; cells
 of a block and a bounded number of queries keep each task bounded.  How much of
@@ -58,6 +59,7 @@ class Forest:
 
     def __init__(self, vectors: np.ndarray, trees: int = TREES, length: int = LENGTH) -> None:
         self.vectors, self.trees, self.length = vectors, trees, length
+        self.products = 0  # inner products worked out so far
         norms = np.linalg.norm(vectors, axis=1)
         self.longest = norms.max()
         self.planes = np.random.default_rng(4).standard_normal((vectors.shape[1] + 1, trees * length))
@@ -94,7 +96,8 @@ class Forest:
         return out
 
     def candidates(self, queries: np.ndarray, own: np.ndarray, k: int, recall: float) -> tuple[np.ndarray, np.ndarray]:
-        """Which vectors are looked at for each query, and all inner products.  ``own`` marks a query's own vector.
+        """Which vectors are met for each query, and their inner products with it; those of all others are never
+        worked out and stand as -inf.  ``own`` marks a query's own vector.
 
         The k-th best score so far tells how short the prefixes must become.
         It only grows as they get shorter, so levels far above that can't be
@@ -102,8 +105,7 @@ class Forest:
         """
         n, norms = len(self.vectors), np.linalg.norm(queries, axis=1)
         codes = self._codes(np.concatenate([queries / norms[:, None], np.zeros((len(queries), 1))], axis=1))
-        products = queries @ self.vectors.T
-        met, active = np.zeros((len(queries), n), dtype=bool), np.arange(len(queries))
+        scores, met, active = np.full((len(queries), n), -np.inf), own.copy(), np.arange(len(queries))
         low, high = np.empty((2, self.trees, len(queries)), dtype=np.int64)
         level = self._matching(codes, 2 * k)
         while len(active):
@@ -113,12 +115,15 @@ class Forest:
                 low[tree, active] = np.searchsorted(self.sorted[tree], prefix << shift)
                 high[tree, active] = np.searchsorted(self.sorted[tree], (prefix + 1) << shift)
             for query in active.tolist():
-                row = met[query]
+                reached = np.zeros(n, dtype=bool)
                 for order, a, b in zip(self.order, low[:, query].tolist(), high[:, query].tolist(), strict=True):
                     if b > a:
-                        row[order[a:b]] = True
-            scores = np.where(met[active] & ~own[active], products[active], -np.inf)
-            kth = np.partition(scores, n - k, axis=1)[:, n - k] if n >= k else np.full(len(active), -np.inf)
+                        reached[order[a:b]] = True
+                new = np.flatnonzero(reached & ~met[query])
+                scores[query, new] = self.vectors[new] @ queries[query]
+                met[query, new] = True
+                self.products += len(new)
+            kth = np.partition(scores[active], n - k, axis=1)[:, n - k] if n >= k else np.full(len(active), -np.inf)
             known = np.isfinite(kth)
             wanted = self._level(np.where(known, kth, 0) / (norms[active] * self.longest), recall)
             more = (level[active] > 0) & (~known | (level[active] > wanted))
@@ -126,7 +131,7 @@ class Forest:
             further = np.where(known, np.minimum(level[active] - 1, wanted + 1), level[active] - 1)
             level[active] = np.where(more, further, level[active])
             active = active[more]
-        return met & ~own, products
+        return met & ~own, scores
 
 
 def _search(k: int, recall: float):

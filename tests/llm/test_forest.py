@@ -36,8 +36,12 @@ def test_clustered_vectors_need_few_candidates():
     centres = rng.standard_normal((40, 32))
     vectors = np.repeat(centres, 50, axis=0) + 0.05 * rng.standard_normal((2000, 32))
     tree = forest.Forest(vectors)
-    met, products = tree.candidates(vectors[:100], np.eye(100, 2000, dtype=bool), 10, 0.95)
+    met, scores = tree.candidates(vectors[:100], np.eye(100, 2000, dtype=bool), 10, 0.95)
     assert met.mean() < 0.1
+    products = vectors[:100] @ vectors.T
+    # a product is worked out once for each vector that was met, and for no other
+    assert tree.products == met.sum() == np.isfinite(scores).sum()
+    assert np.allclose(scores[met], products[met], rtol=1e-12) and (scores[~met] == -np.inf).all()
     best = np.argsort(-np.where(np.eye(100, 2000, dtype=bool), -np.inf, products), axis=1)[:, :10]
     assert np.take_along_axis(met, best, axis=1).mean() > 0.95
 
