@@ -1,11 +1,14 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.llm import quality, queries, toxicity
+from pairloom.llm import quality, queries, samples, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -62,3 +65,79 @@ def test_unseen_misspelling():
     model = toxicity.train(bad + good, [1] * 24 + [0] * 24)
     worse, better = toxicity.scores(["idiotts everywhere idioot", "flowers everywhere today"], model)
     assert worse > better
+
+
+WORD = re.compile(rb"[A-Za-z0-9\x80-\xff]+")
+SIGNS = [b for b in range(33, 127) if not chr(b).isalnum()]
+KINDS = [set(range(48, 58)), set(range(65, 91)), set(range(97, 123)), set(range(192, 256)), set(range(128, 192)), {32}, {10},
+         {*range(10), *range(11, 32), 127}]
+
+
+def brute_measures(text):
+    """The measures of one text, counted one by one."""
+    raw = (text or "").encode()
+    words = [w.lower() for w in WORD.findall(raw)]
+    runs = [tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))] if words else []
+    lines = text.split("\n") if text else []
+    some, size = max(1, len(words)), max(1, len(raw))
+    counts = [raw.count(bytes([b])) for b in SIGNS] + [sum(b in kind for b in raw) for kind in KINDS]
+    return [math.sqrt(c / size) for c in counts] + [
+        math.log1p(len(words)), math.log1p(len(raw)), len(raw) / some, len(set(words)) / some, max(Counter(words).values(), default=0) / some,
+        len(set(runs)) / max(1, len(runs)), len(words) / (len(lines) + 1), len(set(lines)) / max(1, len(lines)),
+    ]
+
+
+def sigma(x):
+    return 1 / (1 + math.exp(-max(-30, min(30, x))))
+
+
+def given(name):
+    return pq.read_table(f"/root/testdata/sf0.01/{name}.parquet").to_pandas()
+
+
+def parts(spark):
+    return [spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels")]
+
+
+def test_quality_scores_by_definition(spark):
+    """Every score of the query is the sigma of the worth of measures that are counted here one by one."""
+    got = {r["doc_id"]: r["score"] for r in queries.QUERIES["op8_quality"](spark, "/root/testdata/sf0.01").collect()}
+    model = quality.fit(*parts(spark), ~samples.held_out(4, 2))
+    docs = given("documents")
+    assert set(got) == set(docs.doc_id)
+    shift = math.log(quality.ACCEPTED / (1 - quality.ACCEPTED)) - model.threshold
+    for doc_id, text in zip(docs.doc_id, docs.text, strict=True):
+        worth = sum((v - c) * w for v, c, w in zip(brute_measures(text), model.centre, model.weights, strict=True))
+        assert math.isclose(got[doc_id], sigma(worth + shift), abs_tol=1e-9)
+
+
+def test_quality_weights_prefer_the_better_text(spark):
+    """The pairs it learned from: most good documents are worth more than most poor ones, and the threshold parts them best."""
+    model = quality.fit(*parts(spark), ~samples.held_out(4, 2))
+    known = given("documents").merge(given("labels"), on="doc_id")
+    known = known[[zlib.crc32(str(i).encode()) % 4 != 2 for i in known.doc_id]]
+    worth = np.array([np.dot(np.array(brute_measures(t)) - model.centre, model.weights) for t in known.text])
+    good, poor = worth[known.quality == 1], worth[known.quality == 0]
+    assert (good[:, None] > poor[None, :]).mean() > 0.97
+
+    def parted(cut):
+        return (good >= cut).mean() + (poor < cut).mean()
+
+    assert parted(model.threshold) >= max(map(parted, worth)) - 0.02
+
+
+def test_toxicity_scores_by_definition(spark):
+    """Every score of the query follows from the bags of single words, put together here text by text."""
+    got = {r["doc_id"]: r["score"] for r in queries.QUERIES["op6_toxicity"](spark, "/root/testdata/sf0.01").collect()}
+    model = toxicity.fit(*parts(spark), ~samples.held_out(5, 0))
+    docs, bags = given("documents"), {}
+    assert set(got) == set(docs.doc_id)
+    for doc_id, text in zip(docs.doc_id, docs.text, strict=True):
+        bag = Counter()
+        for word, n in Counter(w.lower() for w in WORD.findall((text or "").encode())).items():
+            if word not in bags:
+                bags[word] = Counter(toxicity.subwords([word.decode()])[1].tolist())
+            bag.update({bucket: n * m for bucket, m in bags[word].items()})
+        total = sum(map(math.sqrt, bag.values())) + toxicity.UNKNOWN_WEIGHT
+        score = sum(float(model.weights[b]) * math.sqrt(n) for b, n in bag.items()) / total
+        assert math.isclose(got[doc_id], sigma(score + model.intercept), abs_tol=1e-4)
