@@ -140,9 +140,10 @@ def candidates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
 
 def patterns(found: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: float = SUPPORT) -> DataFrame:
     """``(pattern, kind, confidence, support)`` of the patterns to trust, learned from the stored candidates."""
-    edges = found.select("pattern", "value").distinct()
+    # both are read in every round; as stored tables of known size they are also sent whole where they are small
+    edges = staged(found.select("pattern", "value").distinct(), "edges")
     values = edges.select("value").distinct().select("value", F.explode(_kinds_of(F.col("value"))).alias("kind"))
-    seeds = values.withColumn("score", F.lit(1.0))
+    seeds = staged(values.withColumn("score", F.lit(1.0)), "seeds")
     sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     scores = seeds
     for turn in range(rounds):
