@@ -21,6 +21,14 @@ for _n in ps.BY_NUMBER:
         lambda spark, sf, n=_n: ps.presearch_pairs(*people(spark, sf), n)
     )
 
+for _n in ps.NAMESAKE_PASSES:
+    query(f"x{_n:02d}_namesakes", ks.namesakes(_n))(
+        lambda spark, sf, n=_n: ps.namesakes(*people(spark, sf), n)
+    )
+    query(f"x{_n:02d}_namesake_groups", ks.namesake_groups(_n))(
+        lambda spark, sf, n=_n: ps.namesake_groups(ps.namesakes(*people(spark, sf), n))
+    )
+
 
 @query("k_all_min_key", "SELECT id_l, id_r, mkey FROM links")
 def k_all(spark, sf):

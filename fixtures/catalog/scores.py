@@ -8,10 +8,11 @@ from fixtures import score_sql as ss
 from fixtures.catalog.registry import decisions, gold, people, query, raw, rounded, stage, table
 from pairloom.operators import mu
 from pairloom.operators.columns import count_by
-from pairloom.operators.components import cluster_number
+from pairloom.operators.components import cluster_number, extended, numbered_clusters, pair_edges
 from pairloom.operators.pairs import PAIR, latest
 from pairloom.plans import clerical as review, combine as cb, scoring
 from pairloom.plans.people import clean_left_people
+from pairloom.session import staged
 
 VARS = ss.VARIABLES
 AGREE = [f"{v}_agreement" for v in VARS]
@@ -195,6 +196,15 @@ def c01_orders(spark, sf):
     return cluster_number(orders, "customer", "order_id")
 
 
+@query("c01_clusters_by_load", "SELECT id_l, id_r, cluster_number FROM links_clustered")
+def c01_by_load(spark, sf):
+    """The clusters of the exact keys' links, then those of the others added."""
+    links = stage(spark, sf, "links")
+    first, rest = (links.filter(f"mkey {sign} 4").select(*PAIR) for sign in ("<=", ">"))
+    found = extended(review.pair_clusters(first), pair_edges(rest, *PAIR))
+    return numbered_clusters(links.select(*PAIR), found, *PAIR)
+
+
 @query("c02_ingest_rows", ss.ingest("links_clustered"))
 def c02(spark, sf):
     return review.ingest_rows(cluster_number(stage(spark, sf, "links").select(*PAIR), *PAIR))
@@ -216,6 +226,17 @@ def c04_batch(spark, sf):
     return review.review_batch(cb.clerical(stage(spark, sf, "combined")), decisions(spark, sf))
 
 
+@query("c04_review_batch_by_load", ss.ingest("to_review_clustered"))
+def c04_by_load(spark, sf):
+    """The clusters before any load, brought up to date after the first and again after the second."""
+    clerical, loads = cb.clerical(stage(spark, sf, "combined")).select(*PAIR), decisions(spark, sf)
+    before, found = clerical, review.pair_clusters(clerical)
+    for load in (1, 2):
+        now = staged(review.undecided(clerical, loads.filter(F.col("load_no") <= load)), "to_review")
+        before, found = now, staged(review.updated_clusters(found, before, now), "review_clusters")
+    return review.clustered_batch(before, found)
+
+
 @query("c05_latest_decision", "SELECT id_l, id_r, match_status, load_no FROM newest")
 def c05(spark, sf):
     return latest(decisions(spark, sf)).select(*PAIR, "match_status", "load_no")

@@ -200,3 +200,22 @@ PRESEARCH = {
 
 def presearch_pairs(n: int) -> str:
     return f"SELECT DISTINCT l.id AS id_l, r.id AS id_r FROM l JOIN r ON {PRESEARCH[n]}"
+
+
+#: The columns whose values name a group of namesakes.
+NAMESAKES = {5: ("fn1", "sn1"), 6: ("fn2", "sn1"), 7: ("fn1", "fn2")}
+
+
+def namesake_groups(n: int) -> str:
+    first, second = NAMESAKES[n]
+    return f"""
+  SELECT l.{first} AS name_1, l.{second} AS name_2, count(DISTINCT l.id) AS n_l, count(DISTINCT r.id) AS n_r,
+         count(DISTINCT l.id) * count(DISTINCT r.id) AS n_pairs
+  FROM l JOIN r ON {PRESEARCH[n]} GROUP BY l.{first}, l.{second}"""
+
+
+def namesakes(n: int) -> str:
+    first, second = NAMESAKES[n]
+    sides = [f"""SELECT DISTINCT {s}.{first} AS name_1, {s}.{second} AS name_2, '{side}' AS side, {s}.id AS id
+  FROM l JOIN r ON {PRESEARCH[n]}""" for s, side in (("l", "left"), ("r", "right"))]
+    return " UNION ALL ".join(sides)

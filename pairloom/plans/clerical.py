@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from pairloom.config import REVIEWED_SCORE
 from pairloom.operators.columns import count_by, one_per_key
-from pairloom.operators.components import cluster_number
+from pairloom.operators.components import cluster_number, components, extended, numbered_clusters, pair_edges, reduced
 from pairloom.operators.pairs import PAIR, latest
+from pairloom.session import staged
 
 FINAL = [*PAIR, "match_score", "mkey", "clerical"]
 
@@ -36,6 +37,30 @@ def review_batch(clerical: DataFrame, decisions: DataFrame) -> DataFrame:
     return ingest_rows(cluster_number(undecided(clerical.select(*PAIR), decisions), *PAIR))
 
 
+def pair_clusters(pairs: DataFrame) -> DataFrame:
+    """``(vertex, component)`` of the records of a pair table: what a later load starts from."""
+    return components(pair_edges(pairs, *PAIR))
+
+
+def updated_clusters(stars: DataFrame, before: DataFrame, now: DataFrame) -> DataFrame:
+    """The clusters of the pairs ``now`` from those of the pairs ``before``.
+
+    Only clusters that lose a pair and those that a new pair touches change; the
+    rounds go over their pairs alone, however large the rest is.
+    """
+    now, before = now.select(*PAIR).distinct(), before.select(*PAIR).distinct()
+    gone, kept, new = (pair_edges(df, *PAIR) for df in (
+        before.join(now, PAIR, "left_anti"), before.join(now, PAIR, "left_semi"), now.join(before, PAIR, "left_anti")
+    ))
+    left = staged(reduced(stars, gone, kept), "clusters_left")
+    return extended(left, new)
+
+
+def clustered_batch(pairs: DataFrame, stars: DataFrame) -> DataFrame:
+    """The review batch of pairs whose clusters are known: a row per record."""
+    return ingest_rows(numbered_clusters(pairs.select(*PAIR), stars, *PAIR))
+
+
 def batch_size(batch: DataFrame) -> DataFrame:
     """Rows and clusters of a batch, for the ingest form."""
     return batch.agg(F.count(F.lit(1)).alias("n_rows"), F.max("cluster_number").alias("n_clusters"))

@@ -91,6 +91,44 @@ def presearch_pairs(left: DataFrame, right: DataFrame, number: int) -> DataFrame
     return single_key(left, right, BY_NUMBER[number], PAIR)
 
 
+#: Passes by two equal names and nothing else: their pairs grow with the product of the namesakes.
+NAMESAKE_PASSES = (5, 6, 7)
+
+
+def namesakes(left: DataFrame, right: DataFrame, number: int) -> DataFrame:
+    """``(name_1, name_2, side, id)``: the people one of these passes brings together, a row each instead of a row a pair.
+
+    Names that only one side holds are left out.  ``namesake_pairs`` makes the
+    pairs when they are asked for.
+    """
+    names = BY_NUMBER[number].routes[0]
+
+    def one_side(people: DataFrame, side: str) -> DataFrame:
+        s = SUFFIX[side]
+        return people.dropna(subset=[c + s for c in names]).select(
+            *[F.col(c + s).alias(f"name_{n}") for n, c in enumerate(names, 1)], F.lit(side).alias("side"), F.col(f"id{s}").alias("id")
+        ).distinct()
+
+    both = one_side(left, "left").unionByName(one_side(right, "right"))
+    held = both.groupBy("name_1", "name_2").agg(F.min("side").alias("first"), F.max("side").alias("last")).filter("first <> last")
+    return both.join(held, ["name_1", "name_2"], "left_semi")
+
+
+def namesake_groups(members: DataFrame) -> DataFrame:
+    """``(name_1, name_2, n_l, n_r, n_pairs)``: the size of each group, and of its pairs, none of which is made."""
+    sizes = members.groupBy("name_1", "name_2").agg(*[F.count_if(F.col("side") == side).alias(f"n{s}") for side, s in SUFFIX.items()])
+    return sizes.withColumn("n_pairs", F.col("n_l") * F.col("n_r"))
+
+
+def namesake_pairs(members: DataFrame) -> DataFrame:
+    """The distinct pairs of some groups of namesakes; frequent names are cut into cells."""
+    sides = [
+        members.filter(F.col("side") == side).select(*[F.col(c).alias(c + s) for c in ("id", "name_1", "name_2")])
+        for side, s in SUFFIX.items()
+    ]
+    return celled_join(*sides, ["name_1", "name_2"]).select(*PAIR).distinct()
+
+
 # Passes 3 and 4 ask for more than 8 and 10 on the same columns, but come first.
 BLOCKS: dict[Route, tuple[int, ...]] = {
     ("fn1", "dob"): (3, 8), ("sn1", "dob"): (4, 10), ("fn1", "sn1"): (5,), ("fn2", "sn1"): (6,),

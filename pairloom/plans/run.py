@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairloom.operators import mu
 from pairloom.operators.bands import score_bands
 from pairloom.operators.columns import count_by
+from pairloom.operators.pairs import PAIR
 from pairloom.plans import clerical as review, combine as cb, scoring
 from pairloom.plans.household_keys import link_households
 from pairloom.plans.households import clean_left_households, clean_right_households
@@ -90,10 +91,19 @@ def combine_stage(stages: Stages, spark: SparkSession, more_links: DataFrame | N
     stages.write(cb.clerical(combined), "clerical_links")
 
 
-def review_stage(stages: Stages, spark: SparkSession, decisions: DataFrame) -> DataFrame:
-    """The next review batch: a stage, the file to hand over, and its size."""
+def review_stage(stages: Stages, spark: SparkSession, decisions: DataFrame, earlier: Stages | None = None) -> DataFrame:
+    """The next review batch: a stage, the file to hand over, and its size.
+
+    With the stages of an ``earlier`` run its clusters are carried on: only
+    those that gain or lose a pair by the new loads are worked out again.
+    """
     stages.write(review.decided(decisions), "decided_pairs")
-    batch = stages.write(review.review_batch(stages.read(spark, "clerical_links"), decisions), "review_batch")
+    pairs = stages.write(review.undecided(stages.read(spark, "clerical_links").select(*PAIR), decisions), "to_review")
+    if earlier is None:
+        found = review.pair_clusters(pairs)
+    else:
+        found = review.updated_clusters(earlier.read(spark, "review_clusters"), earlier.read(spark, "to_review"), pairs)
+    batch = stages.write(review.clustered_batch(pairs, stages.write(found, "review_clusters")), "review_batch")
     write_review_csv(batch, stages.root, stages.run_date)
     stages.write(review.batch_size(batch), "review_batch_size")
     return batch
@@ -119,16 +129,31 @@ def final_stage(stages: Stages, spark: SparkSession, decisions: DataFrame) -> Da
     return stages.write(review.final_links(combined, decisions), "final_links")
 
 
-def run(stages: Stages, raw: Inputs, decisions: DataFrame) -> DataFrame:
-    """All stages in order; returns the final links."""
+def run(
+    stages: Stages, raw: Inputs, decisions: DataFrame, earlier: Stages | None = None, key_sample: DataFrame | None = None,
+    search_unlinked: bool = False,
+) -> DataFrame:
+    """All stages in order; returns the final links.
+
+    ``earlier`` are the stages of the run before, with another date; ``key_sample``
+    a sample of links to review by key; ``search_unlinked`` adds the pre-search
+    among the people that no final link holds.
+    """
+    if earlier is not None and earlier.folder() == stages.folder():
+        raise ValueError("an earlier run has a folder of its own")
     spark = raw.left_people.sparkSession
     clean_stage(stages, raw)
     key_stage(stages, spark)
     probability_stage(stages, spark, decisions)
     score_stage(stages, spark)
     combine_stage(stages, spark)
-    review_stage(stages, spark, decisions)
-    return final_stage(stages, spark, decisions)
+    review_stage(stages, spark, decisions, earlier)
+    if key_sample is not None:
+        key_quality_stage(stages, key_sample)
+    final = final_stage(stages, spark, decisions)
+    if search_unlinked:
+        presearch_stage(stages, spark)
+    return final
 
 
 def link_counts(stages: Stages, spark: SparkSession) -> DataFrame:

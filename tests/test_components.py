@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures.catalog import registry
-from pairloom.operators.components import cluster_number
+from pairloom.operators.components import cluster_number, components, extended
+from pairloom.plans import clerical as review
 
 
 def _union_find(edges):
@@ -51,6 +52,50 @@ def test_clusters_equal_union_find(spark, name):
     assert sorted(clusters) == list(range(1, len(clusters) + 1))
 
 
+def _parts(df):
+    return sorted((r["vertex"], r["component"]) for r in df.collect())
+
+
+def _pairs(spark, pairs):
+    return spark.createDataFrame(sorted(pairs), "id_l string, id_r string")
+
+
+LOADS = {
+    "some go, some come": (set(_random_edges(40, 45, 3)), set(_random_edges(40, 45, 3)[::2]) | set(_random_edges(40, 20, 4))),
+    "a chain is cut": (set(CASES["chain"]), set(CASES["chain"]) - {CASES["chain"][20]}),
+    "a chain is joined": (set(CASES["chain"]) - {CASES["chain"][20]}, set(CASES["chain"])),
+    "a hub goes": (set(CASES["hub"]), {("other", "200")}),
+    "all go": (set(CASES["dense"]), set()),
+    "none before": (set(), set(CASES["sparse"])),
+    "nothing changes": (set(CASES["dense"]), set(CASES["dense"])),
+}
+
+
+@pytest.mark.parametrize("name", LOADS)
+def test_updated_clusters_equal_a_full_run(spark, name):
+    before, now = (_pairs(spark, pairs) for pairs in LOADS[name])
+    got = review.updated_clusters(review.pair_clusters(before), before, now)
+    assert _parts(got) == _parts(review.pair_clusters(now))
+
+
+def test_an_update_goes_over_changed_clusters_only(spark, monkeypatch):
+    from pairloom.operators import components as c
+
+    seen, whole = [], c.components
+    monkeypatch.setattr(c, "components", lambda edges: (seen.append(edges.count()), whole(edges))[1])
+    pairs = [(f"p{i}", f"p{i}") for i in range(50)] + [("q", "r"), ("q", "s")]
+    before = _pairs(spark, pairs)
+    stars = whole(c.pair_edges(before, "id_l", "id_r"))
+    review.updated_clusters(stars, before, _pairs(spark, [*pairs[:51], ("p1", "p2")])).collect()
+    assert seen == [1, 1]  # the edge that q keeps, and the new one
+
+
+def test_an_edge_inside_a_component_or_repeated_changes_nothing(spark):
+    stars = components(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"))
+    again = spark.createDataFrame([(3, 1), (1, 3), (1, 3)], "a long, b long")
+    assert _parts(extended(stars, again)) == _parts(stars) == [(1, 1), (2, 1), (3, 1)]
+
+
 def test_ids_must_be_text(spark):
     with pytest.raises(TypeError):
         cluster_number(spark.range(2).select("id", F.lit("x").alias("b")), "id", "b")

@@ -130,6 +130,16 @@ def test_presearch_of_the_unlinked(spark, sf):
     assert got and set(got) <= set(everyone) and not {a for a, _ in got} & held
 
 
+@pytest.mark.parametrize("number", ps.NAMESAKE_PASSES)
+def test_namesakes_stand_for_their_pairs(spark, sf, number):
+    left, right = people(spark, sf)
+    members, expected = ps.namesakes(left, right, number), rows(ps.presearch_pairs(left, right, number), *PAIR)
+    assert sorted(rows(ps.namesake_pairs(members), *PAIR)) == sorted(expected)
+    assert members.count() <= left.count() + right.count()
+    made = ps.namesake_groups(members).agg({"n_pairs": "sum"}).first()[0]
+    assert made >= len(expected) > 0
+
+
 # ------------------------------------------------------------------------------------- scores
 def _weights(spark, m=0.9, u=0.01):
     names = ("fn1", "sn1", "sex", "dob")
@@ -255,7 +265,7 @@ def test_whole_run_equals_the_stages(spark, sf, tmp_path):
     raw_inputs = rn.Inputs(*[raw(spark, sf, f"raw_{t}") for t in tables])
     stages = out.Stages(str(tmp_path), dt.date(2000, 1, 31))
     loads = decisions(spark, sf)
-    final = rn.run(stages, raw_inputs, loads)
+    final = rn.run(stages, raw_inputs, loads, key_sample=stage(spark, sf, "links").limit(20), search_unlinked=True)
     left, right = people(spark, sf)
     scores = scoring.score_people(left, right, stage(spark, sf, "m_values"), mu.exact_u_values(left, right))
     expected = review.final_links(cb.combine(stage(spark, sf, "links"), scores), loads)
@@ -271,9 +281,21 @@ def test_whole_run_equals_the_stages(spark, sf, tmp_path):
     assert size["n_rows"] == handed.count()
     report = src.read_text_csv(spark, stages.path("score_bands", "csv"))
     assert report.count() == stages.read(spark, "score_bands").count() > 0
-    sample = rn.key_quality_stage(stages, stages.read(spark, "person_links").limit(20))
+    sample = stages.read(spark, "key_quality_batch")
     assert sample.count() == src.read_text_csv(spark, f"{tmp_path}/2000/01/31/review/key_quality_pairs.csv").count() > 0
-    assert rn.presearch_stage(stages, spark).columns == [*PAIR, "search_pass"]
+    assert stages.read(spark, "presearch_pairs").columns == [*PAIR, "search_pass"]
+
+
+def test_a_later_review_carries_the_clusters_on(spark, sf, tmp_path):
+    loads = decisions(spark, sf)
+    first, second, full = (out.Stages(str(tmp_path), dt.date(2000, 1, day)) for day in (1, 2, 3))
+    for stages in (first, second, full):
+        stages.write(cb.clerical(stage(spark, sf, "combined")), "clerical_links")
+    rn.review_stage(first, spark, loads.filter("load_no < 1"))
+    names = ("unique_id", "cluster_number", "dataset")
+    later = rows(rn.review_stage(second, spark, loads, earlier=first), *names)
+    assert later == rows(rn.review_stage(full, spark, loads), *names) and later
+    assert second.read(spark, "to_review").count() < first.read(spark, "to_review").count()
 
 
 def test_weights_of_shares_at_the_ends(spark):
