@@ -21,11 +21,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.operators.columns import SUFFIX
-from pairloom.session import checkpoint_dir
+from pairloom.session import staged
 
 CELL_ROWS = 2_000  # rows of a side per cell: some millions of comparisons per task
 MEMBER = "_member"  # ends the names of columns that stand for one member of the set of that name
-MAX_HOT_BLOCKS = 50_000  # rows of the hot list, which is broadcast: under 2 MB
 
 
 def same(*columns: str) -> Column:
@@ -95,9 +94,10 @@ def hot_blocks(left: DataFrame, right: DataFrame, blocks: Sequence[Sequence[str]
 
     Returns ``(block, key_hash, splits_l, splits_r)`` or None if there are none,
     after one aggregate over the blocking columns of all ``blocks``, whose small
-    result is checkpointed: joins read it and never count again.  Beyond
-    ``MAX_HOT_BLOCKS`` the least of them stay whole; that loses no pair.  Two
-    blocks with one hash only share a split.
+    result is stored: joins read it and never count again.  As its size is known
+    it is broadcast while that is small, and joined by a shuffle beyond; every hot
+    block is cut, however many there are.  Two blocks with one hash only share a
+    split.
     """
     cell_rows = cell_rows or CELL_ROWS
     sizes = [
@@ -109,18 +109,16 @@ def hot_blocks(left: DataFrame, right: DataFrame, blocks: Sequence[Sequence[str]
     total = sizes[0].unionByName(sizes[1]).groupBy("block", "key_hash")
     total = total.agg(F.sum("n_l").alias("n_l"), F.sum("n_r").alias("n_r"))
     compared = F.col("n_l").cast("double") * F.col("n_r")
-    hot = total.filter(compared > float(cell_rows) ** 2).orderBy(compared.desc(), "block", "key_hash").limit(MAX_HOT_BLOCKS)
-    checkpoint_dir(left.sparkSession)
-    hot = hot.select(
+    hot = staged(total.filter(compared > float(cell_rows) ** 2).select(
         "block", "key_hash",
         *[F.ceil(F.col(f"n{s}") / cell_rows).cast("int").alias(f"splits{s}") for s in SUFFIX.values()],
-    ).checkpoint()
+    ), "hot_blocks")
     return None if hot.isEmpty() else hot
 
 
 def _in_cells(df: DataFrame, side: str, on: Sequence[str], hot: DataFrame) -> DataFrame:
     own, other = ("_l", "_r") if side == "left" else ("_r", "_l")
-    cut = df.withColumn("key_hash", _key_hash(on, side)).join(F.broadcast(hot), "key_hash", "left")
+    cut = df.withColumn("key_hash", _key_hash(on, side)).join(hot, "key_hash", "left")
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     one = F.lit(1)
     return cut.select(

@@ -98,7 +98,7 @@ def test_hot_blocks_do_not_change_links(spark, sf, monkeypatch):
 def test_cells_read_the_files_once(spark, sf, monkeypatch):
     """The hot list is stored: cut joins scan no more than whole ones, and read the list besides."""
     def scans(df):
-        return len(re.findall(r"Scan parquet", plan(df)))
+        return len(re.findall(r"Scan parquet \[(?!block#)", plan(df)))
 
     whole = scans(hk.link_households(*households(spark, sf)))
     monkeypatch.setattr(blocks, "CELL_ROWS", 2)
@@ -112,12 +112,18 @@ def test_hot_postcodes_do_not_change_candidates(spark, sf, monkeypatch):
     assert rows(scoring.candidates(left, right), *PAIR) == expected
 
 
-def test_a_long_hot_list_is_cut_not_dropped(spark, sf, monkeypatch):
+def test_a_hot_list_too_long_to_broadcast_is_shuffled(spark, sf, monkeypatch):
     left, right = households(spark, sf)
     expected = rows(hk.household_key_pairs(left, right, 14), "hh_id_l", "hh_id_r")
     monkeypatch.setattr(blocks, "CELL_ROWS", 1)
-    monkeypatch.setattr(blocks, "MAX_HOT_BLOCKS", 3)
-    assert rows(hk.household_key_pairs(left, right, 14), "hh_id_l", "hh_id_r") == expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = hk.household_key_pairs(left, right, 14)
+        assert "BroadcastHashJoin" not in plan(found)
+        assert rows(found, "hh_id_l", "hh_id_r") == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_presearch_of_the_unlinked(spark, sf):
