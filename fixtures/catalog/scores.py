@@ -149,7 +149,7 @@ def r09(spark, sf):
 @query("r10_thresholds", "SELECT id_l, id_r, CASE WHEN match_score > 40 THEN 'accept' ELSE 'clerical' END AS zone FROM scored "
        "WHERE match_score >= 8.5")
 def r10(spark, sf):
-    scores = stage(spark, sf, "scores")
+    scores = stage(spark, sf, "likely_scores")
     accepted = cb.accepted_by_score(scores).select(*PAIR, F.lit("accept").alias("zone"))
     return accepted.unionByName(cb.clerical_by_score(scores).select(*PAIR, F.lit("clerical").alias("zone")))
 
@@ -160,13 +160,13 @@ COMBINED = f"id_l, id_r, mkey, {_round('match_score')}, clerical, id_l_count, id
 
 @query("r12_combine", f"SELECT id_l, id_r, mkey, {_round('match_score')} FROM combined")
 def r12(spark, sf):
-    both = cb.combine(stage(spark, sf, "links"), stage(spark, sf, "scores"))
+    both = cb.combine(stage(spark, sf, "links"), stage(spark, sf, "likely_scores"))
     return rounded(both.select(*PAIR, "mkey", "match_score"), "match_score")
 
 
 @query("r13_clerical_flag", f"SELECT {COMBINED} FROM combined")
 def r13(spark, sf):
-    return rounded(cb.combine(stage(spark, sf, "links"), stage(spark, sf, "scores")), "match_score")
+    return rounded(cb.combine(stage(spark, sf, "links"), stage(spark, sf, "likely_scores")), "match_score")
 
 
 @query("r14_clerical_subset", f"SELECT {COMBINED} FROM combined WHERE clerical = 1")

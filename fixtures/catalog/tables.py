@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fixtures import clean_sql as cs, inputs, key_sql as ks, score_sql as ss
 from fixtures.catalog.registry import (
-    decisions, gold, households, joined, people, plain, query, raw, rounded, stage, table, text_of,
+    decisions, gold, households, joined, people, plain, query, raw, rounded, scored_with, stage, table, text_of,
 )
 from pairloom.config import CODES_TO_BLANK, CODES_TO_NULL
 from pairloom.functions import missing as mis, names as nm
@@ -253,7 +253,7 @@ def p15(spark, sf):
 
 @query("p16_constants", "SELECT id_l, id_r, NULL::INT AS mkey, match_score > 40 AS accepted, 99::DOUBLE AS reviewed FROM scored WHERE match_score >= 8.5")
 def p16(spark, sf):
-    scores = stage(spark, sf, "scores").filter("match_score >= 8.5")
+    scores = stage(spark, sf, "likely_scores")
     return scores.select(
         *PAIR, F.lit(None).cast("int").alias("mkey"), (F.col("match_score") > 40).alias("accepted"), F.lit(99).cast("double").alias("reviewed")
     )
@@ -351,7 +351,8 @@ def a01_households(spark, sf):
 
 @query("a02_global_max", "SELECT round(max(match_score), 6) AS top_score FROM scored")
 def a02(spark, sf):
-    return rounded(stage(spark, sf, "scores").agg(F.max("match_score").alias("top_score")), "top_score")
+    scores = scoring.match_scores(*scored_with(spark, sf))
+    return rounded(scores.agg(F.max("match_score").alias("top_score")), "top_score")
 
 
 @query("a05_score_bands", "SELECT * FROM bands")
@@ -408,7 +409,7 @@ def w02(spark, sf):
 
 @query("w03_best_over_methods", "SELECT id_l, id_r, round(max(match_score), 6) AS match_score, min(mkey) AS mkey FROM combined GROUP BY id_l, id_r")
 def w03(spark, sf):
-    both = cb.combine(stage(spark, sf, "links"), stage(spark, sf, "scores"))
+    both = cb.combine(stage(spark, sf, "links"), stage(spark, sf, "likely_scores"))
     return rounded(both.select(*PAIR, "match_score", "mkey"), "match_score")
 
 

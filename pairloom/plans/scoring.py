@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.config import (
+    CLERICAL_FROM,
     DOB_CUTOFF,
     MAX_AGE_GAP,
     NAME_CUTOFF,
@@ -40,6 +41,14 @@ def located(people: DataFrame, side: str, extra: Sequence[str] = ()) -> DataFram
     return persons.select("*", F.explode(f"places{s}").alias(f"place{s}"))
 
 
+def met_once() -> Column:
+    """The place at which a pair is kept: the least one it shares."""
+    least_shared = F.array_min(F.array_intersect(F.col("places_l"), F.col("places_r")))
+    # one postcode on both sides is the usual case and needs no set operation
+    single = (F.size("places_l") == 1) | (F.size("places_r") == 1)
+    return single | (F.col("place_l") == least_shared)
+
+
 def candidates(left: DataFrame, right: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Pairs with a postcode in common, each once.
 
@@ -47,11 +56,7 @@ def candidates(left: DataFrame, right: DataFrame, extra: Sequence[str] = ()) ->
     A pair that shares several is kept at the least of them only, so no
     distinct, and no shuffle of the pairs, is needed.
     """
-    left, right = located(left, "left", extra), located(right, "right", extra)
-    least_shared = F.array_min(F.array_intersect(F.col("places_l"), F.col("places_r")))
-    # one postcode on both sides is the usual case and needs no set operation
-    single = (F.size("places_l") == 1) | (F.size("places_r") == 1)
-    return celled_join(left, right, BLOCK, single | (F.col("place_l") == least_shared))
+    return celled_join(located(left, "left", extra), located(right, "right", extra), BLOCK, met_once())
 
 
 def one_pass(left: DataFrame, right: DataFrame, left_pc: str, right_pc: str) -> DataFrame:
@@ -65,13 +70,19 @@ NAMES = {"fn1": "fn", "sn1": "sn"}
 
 
 def with_name_scores(pairs: DataFrame, where: Column | None = None) -> DataFrame:
-    """Similarities of first words and of whole names, computed once each; with ``where`` only of those pairs."""
-    def score(c: str) -> Column:
+    """Similarities of first words and of whole names, computed once each; with ``where`` only of those pairs.
+
+    Where both whole names are their first words, the whole names have no score of their own.
+    """
+    def score(c: str, of: Column | None) -> Column:
         found = lev_score(F.col(f"{c}_r"), F.col(f"{c}_l"))
-        return found if where is None else F.when(where, found)
+        return found if of is None else F.when(of, found)
 
-    columns = [c for pair in NAMES.items() for c in pair]
-    return pairs.select("*", *[score(c).alias(f"_{c}_score") for c in columns])
+    scores = []
+    for first, whole in NAMES.items():
+        longer = (F.col(f"{whole}_l") != F.col(f"{first}_l")) | (F.col(f"{whole}_r") != F.col(f"{first}_r"))
+        scores += [score(first, where).alias(f"_{first}_score"), score(whole, longer if where is None else where & longer).alias(f"_{whole}_score")]
+    return pairs.select("*", *scores)
 
 
 def name_agreement(first: str) -> Column:
@@ -120,11 +131,11 @@ def too_far() -> Column:
     return F.coalesce(age_gap() > MAX_AGE_GAP, F.lit(False))
 
 
-def with_agreements(pairs: DataFrame, names_where: Column | None = None) -> DataFrame:
-    """Adds ``fn1_agreement, sn1_agreement, sex_agreement, dob_agreement``; names compared as in ``with_name_scores``."""
+def with_agreements(pairs: DataFrame) -> DataFrame:
+    """Adds ``fn1_agreement, sn1_agreement, sex_agreement, dob_agreement``."""
     nickname = F.arrays_overlap(F.col("nicknames_l"), F.col("nicknames_r"))
     first = F.when(nickname, F.lit(1.0)).otherwise(name_agreement("fn1"))
-    named = with_name_scores(pairs, names_where).select(
+    named = with_name_scores(pairs).select(
         *pairs.columns, first.alias("fn1_agreement"), name_agreement("sn1").alias("sn1_agreement"),
         F.when(same("sex"), F.lit(1.0)).otherwise(F.lit(0.0)).alias("sex_agreement"),
     )
@@ -150,19 +161,16 @@ def weight(variable: str, of: Column) -> Column:
 LEAST_SHARE = 1e-9
 
 
-def scored(
-    pairs: DataFrame, m: DataFrame, u: DataFrame, least: float | None = LEAST_SHARE, names_where: Column | None = None
-) -> DataFrame:
+def scored(pairs: DataFrame, m: DataFrame, u: DataFrame, least: float | None = LEAST_SHARE) -> DataFrame:
     """Candidate pairs with agreements, weights and ``match_score``.
 
     The weights are one row and enter as a scalar subquery: computed once, then
     a literal in every task.  ``least`` as in ``weight_row``; a weight that is
-    missing all the same is an error, not a lost score.  ``names_where`` as in
-    ``with_agreements``.
+    missing all the same is an error, not a lost score.
     """
     row = checked(weight_row(m, u, least=least))
     weights = row.select(F.struct(*row.columns).alias("weights")).scalar()
-    agreed = with_agreements(pairs, names_where).select("*", weights.alias("_weights"))
+    agreed = with_agreements(pairs).select("*", weights.alias("_weights"))
     weighed = agreed.select(
         *[c for c in agreed.columns if c != "_weights"],
         *[F.col("_weights")[c].alias(c) for c in row.columns],
@@ -172,14 +180,92 @@ def scored(
     return weighed.withColumn("match_score", F.when(too_far(), F.lit(0.0)).otherwise(total))
 
 
+def only(pairs: DataFrame, condition: Column) -> DataFrame:
+    """Pairs that satisfy a condition on worked out agreements, weights or scores.
+
+    An explode keeps the condition above them.  A filter would be pushed below
+    and spell out each agreement wherever it is named, until the generated
+    code is too long to compile.
+    """
+    return pairs.select("*", F.explode(F.when(condition, F.array(F.lit(True)))).alias("_kept")).drop("_kept")
+
+
 def score_people(left: DataFrame, right: DataFrame, m: DataFrame, u: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Scored candidate pairs of two cleaned files; ``extra`` columns of both are carried along."""
     return scored(candidates(left, right, extra), m, u)
 
 
-def match_scores(left: DataFrame, right: DataFrame, m: DataFrame, u: DataFrame) -> DataFrame:
-    """``(id_l, id_r, match_score)`` of all candidate pairs: what combining and the band profile read.
+def near_candidates(left: DataFrame, right: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The candidate pairs that are not ``too_far``; the others never meet."""
+    return _near(located(left, "left", extra), located(right, "right", extra))
+
+
+def _near(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``near_candidates`` of two located sides.
+
+    People of one place meet under a band of age.  The left person has one
+    band, the right one all that ages within ``MAX_AGE_GAP`` may be in; people
+    whose age is unknown meet all.  No two people share more than one sign.
+    """
+    def banded(people: DataFrame, side: str) -> DataFrame:
+        age = F.col("age" + SUFFIX[side])
+
+        def band(shift: int) -> Column:
+            return F.floor((age + shift) / MAX_AGE_GAP).cast("string")
+
+        signs = {
+            "left": ([band(0), F.lit("known l")], [F.lit("unknown l")]),
+            "right": (
+                [*[band(n * MAX_AGE_GAP) for n in (-1, 0, 1)], F.lit("unknown l")], [F.lit("known l"), F.lit("unknown l")]
+            ),
+        }
+        known, unknown = (F.array(*of) for of in signs[side])
+        return people.select("*", F.explode(F.when(age.isNull(), unknown).otherwise(known)).alias("near" + SUFFIX[side]))
+
+    sides = banded(left, "left"), banded(right, "right")
+    return celled_join(*sides, (*BLOCK, "near"), ~too_far() & met_once()).drop("near_l", "near_r")
+
+
+def far_scores(left: DataFrame, right: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """``(id_l, id_r, match_score)``, and ``extra`` of both, of the candidate pairs that are ``too_far``: 0.
+
+    Such pairs are met by ids and ages alone.
+    """
+    return _far(located(left, "left", extra), located(right, "right", extra), extra)
+
+
+def _far(left: DataFrame, right: DataFrame, extra: Sequence[str]) -> DataFrame:
+    """``far_scores`` of two located sides."""
+    def narrow(persons: DataFrame, s: str) -> DataFrame:
+        wanted = dict.fromkeys(["id", "age", *extra, "places", "place"])
+        return persons.select(*[c + s for c in wanted]).dropna(subset=["age" + s])
+
+    far = celled_join(narrow(left, "_l"), narrow(right, "_r"), BLOCK, too_far() & met_once())
+    return far.select(*_both_sides(extra), F.lit(0.0).alias("match_score"))
+
+
+def _both_sides(extra: Sequence[str]) -> list[str]:
+    return [c + s for c in ("id", *extra) for s in SUFFIX.values()]
+
+
+def near_scores(left: DataFrame, right: DataFrame, m: DataFrame, u: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """``(id_l, id_r, match_score)``, and ``extra`` of both, of the candidate pairs that are not too far apart in age."""
+    return scored(near_candidates(left, right, extra), m, u).select(*_both_sides(extra), "match_score")
+
+
+def match_scores(left: DataFrame, right: DataFrame, m: DataFrame, u: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """``(id_l, id_r, match_score)``, and ``extra`` of both, of all candidate pairs: what the band profile reads.
+
+    Pairs too far apart in age need no names.
+    """
+    sides = located(left, "left", extra), located(right, "right", extra)
+    near = scored(_near(*sides), m, u).select(*_both_sides(extra), "match_score")
+    return near.unionByName(_far(*sides, extra))
+
+
+def likely_scores(left: DataFrame, right: DataFrame, m: DataFrame, u: DataFrame) -> DataFrame:
+    """The rows of ``match_scores`` that combining reads: those a clerk would see, or better.
 
-    Names of pairs too far apart in age are not compared.
+    ``CLERICAL_FROM`` is above 0, the score of a pair too far apart in age.
     """
-    return scored(candidates(left, right), m, u, names_where=~too_far()).select("id_l", "id_r", "match_score")
+    return only(near_scores(left, right, m, u), F.col("match_score") >= CLERICAL_FROM)
