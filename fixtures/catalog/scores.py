@@ -142,7 +142,7 @@ def r08(spark, sf):
 
 @query("r09_age_gap", f"SELECT id_l, id_r, age_l, age_r, {_round('match_score')} FROM scored WHERE abs(age_r - age_l) > 5")
 def r09(spark, sf):
-    far = _scored(spark, sf).filter(scoring.age_gap() > 5)
+    far = scoring.far_scores(*people(spark, sf), extra=("age",))
     return rounded(far.select(*PAIR, "age_l", "age_r", "match_score"), "match_score")
 
 
