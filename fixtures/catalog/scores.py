@@ -74,7 +74,7 @@ def r05(spark, sf):
 def a04_zero_u(spark, sf):
     """Pairs with a score when chance never made two birth dates agree: all of them."""
     u = stage(spark, sf, "u_values").select("variable", F.when(F.col("variable") == "dob", 0.0).otherwise(F.col("u_value")).alias("u_value"))
-    scores = scoring.score_people(*people(spark, sf), stage(spark, sf, "m_values"), u)
+    scores = scoring.match_scores(*people(spark, sf), stage(spark, sf, "m_values"), u, extra=("dob",))
     return scores.agg(
         F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("dob_l") == F.col("dob_r")).alias("same_dob"), F.count("match_score").alias("with_score")
     )
