@@ -63,16 +63,18 @@ def alike_names(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
     return staged(similar_values(*values, NAMES_ALIKE), f"alike_{name}")
 
 
-def names_alike_pairs(left: DataFrame, right: DataFrame, block: str, first: DataFrame, last: DataFrame) -> DataFrame:
-    """Pairs that agree on ``block`` and have both names alike, by equality alone.
+def names_alike_pairs(left: DataFrame, right: DataFrame, block: str, first: DataFrame) -> DataFrame:
+    """Pairs that agree on ``block`` and have both names alike; a pair of two ids with several rows may come several times.
 
-    A left person is joined under each last name alike to theirs, so only
-    people of one block with alike last names meet; their first names are looked
-    up among the alike pairs.
+    A left person is joined under each first name alike to theirs, so only people
+    of one block with alike first names meet, and their last names are compared
+    there.  Files hold few first names, however large they are; last names are so
+    many that all pairs of alike ones grow beyond the pairs of people who meet.
     """
-    under = left.join(last, F.col("sn1_l") == F.col("value_l")).select(*left.columns, F.col("value_r").alias("under_l"))
-    met = celled_join(under, right.withColumn("under_r", F.col("sn1_r")), [block, "under"])
-    return met.join(first, (F.col("fn1_l") == F.col("value_l")) & (F.col("fn1_r") == F.col("value_r")), "left_semi").select(*PAIR).distinct()
+    sides = [df.select(*[c + s for c in ("id", "fn1", "sn1", block)]).distinct() for df, s in ((left, "_l"), (right, "_r"))]
+    under = sides[0].join(first, F.col("fn1_l") == F.col("value_l")).select(*sides[0].columns, F.col("value_r").alias("under_l"))
+    met = celled_join(under, sides[1].withColumn("under_r", F.col("fn1_r")), [block, "under"], _alike("sn1", NAMES_ALIKE))
+    return met.select(*PAIR)
 
 
 #: Passes that ask for both names alike in a block that is too wide to compare all its people.
@@ -87,7 +89,7 @@ def presearch_pairs(left: DataFrame, right: DataFrame, number: int) -> DataFrame
     """
     left, right = searchable(left, "left"), searchable(right, "right")
     if number in NAME_PASSES:
-        return names_alike_pairs(left, right, NAME_PASSES[number], alike_names(left, right, "fn1"), alike_names(left, right, "sn1"))
+        return names_alike_pairs(left, right, NAME_PASSES[number], alike_names(left, right, "fn1")).distinct()
     return single_key(left, right, BY_NUMBER[number], PAIR)
 
 
@@ -147,8 +149,6 @@ def presearch(left: DataFrame, right: DataFrame, links: DataFrame | None = None)
     left, right = searchable(left, "left"), searchable(right, "right")
     blocks = {block: [BY_NUMBER[n] for n in numbers] for block, numbers in BLOCKS.items()}
     parts = block_keys(left, right, blocks, PAIR, "search_pass", hot_blocks(left, right, list(blocks)))
-    first, last = alike_names(left, right, "fn1"), alike_names(left, right, "sn1")
-    parts += [
-        names_alike_pairs(left, right, block, first, last).withColumn("search_pass", F.lit(number)) for number, block in NAME_PASSES.items()
-    ]
+    first = alike_names(left, right, "fn1")
+    parts += [names_alike_pairs(left, right, block, first).withColumn("search_pass", F.lit(number)) for number, block in NAME_PASSES.items()]
     return best_key(reduce(DataFrame.unionByName, parts), "search_pass")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fixtures.catalog.registry import people
 from pairloom.operators import similar
 from pairloom.plans import presearch as ps
+from pairloom.session import staged
 
 
 def distance(a, b):
@@ -51,3 +52,25 @@ def test_few_of_all_pairs_are_compared(spark):
     sizes = [df.groupBy(F.col(f"age{s}").alias("age")).agg(F.count(F.lit(1)).alias("n" + s)) for df, s in ((left, "_l"), (right, "_r"))]
     pairs = sizes[0].join(sizes[1], "age").agg(F.sum(F.col("n_l") * F.col("n_r"))).first()[0]
     assert 0 < compared < 0.1 * pairs, (compared, pairs)
+
+
+def test_name_passes_store_no_pairs_of_last_names(spark, monkeypatch):
+    """400 last names that are all alike, each person with a birth date of their own: no list of 160,000 alike names is made."""
+    stored = []
+
+    def counted(df, name):
+        kept = staged(df, name)
+        stored.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(ps, "staged", counted)
+    names = ["WILLIAMSON" + a + b for a in "ABCDEFGHIJKLMNOPQRST" for b in "ABCDEFGHIJKLMNOPQRST"]
+    sides = [
+        spark.createDataFrame(
+            [(f"{s}{n}", "JOHN" if n % 2 else "JOHNS", name, f"1990-{n}", n) for n, name in enumerate(names)],
+            ", ".join(f"{c}_{s} {t}" for c, t in (("id", "string"), ("fn1", "string"), ("sn1", "string"), ("dob", "string"), ("age", "int"))),
+        ).select("*", *[F.lit(None).cast("string").alias(f"{c}_{s}") for c in ("fn", "fn2", "fn1_nickname")], F.lit("P").alias("pc_1y_l" if s == "l" else "pc_r"))
+        for s in "lr"
+    ]
+    assert ps.presearch_pairs(*sides, 1).count() == 400
+    assert stored == [4]
