@@ -3,10 +3,11 @@
 By the Bradley-Terry model, a document with worth a is preferred to one with
 worth b with probability sigma(a - b).  Worth is a linear function of measures
 of the text, so the weights follow from a logistic loss on the differences of
-measures over pairs of a good and a poor document.  A quantile of the worth of
-the training texts is the threshold between the two labels: the one that parts
-the labels best.  A score is sigma of the worth, shifted so that the threshold
-stands at ``ACCEPTED``.
+measures over pairs of a good and a poor document.  Every labelled document
+stands in a pair, and Spark fits the weights.  A quantile of the worth of all
+training texts is the threshold between the two labels: the one that parts
+the labels best, counted over all of them.  A score is sigma of the worth,
+shifted so that the threshold stands at ``ACCEPTED``.
 
 Defined results: a null text counts as empty; an empty text has measures of
 zero and a score like any other.  Rows with null labels are not learned from.
@@ -20,16 +21,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.llm import samples, shingles
+from pairloom.operators.numbering import numbered, shuffled_order
+from pairloom.session import staged
 
 ACCEPTED = 0.7
-#: Documents of each label, 0 and 1, that a model is fitted on.
-PER_LABEL = (3000, 3000)
+#: Pairs that a model is fitted on, at least: documents of small tables stand in several.
 PAIRS = 30_000
-_STEPS = 400
+_PENALTY = 1e-4
+_ROUNDS = 100
 _QUANTILES = 400
+#: Ranks of the approximate quantiles are off by one in this many at most; what a cut parts is counted exactly.
+_ACCURACY = 100_000
 _U = np.uint64
 
 _BYTES = np.arange(256)
@@ -84,51 +92,105 @@ class Model:
     weights: np.ndarray
     threshold: float
 
+    def worth(self, values: np.ndarray) -> np.ndarray:
+        return (values - self.centre) @ self.weights
+
     def score(self, values: np.ndarray) -> np.ndarray:
         shift = np.log(ACCEPTED / (1 - ACCEPTED))
-        return 1 / (1 + np.exp(-np.clip((values - self.centre) @ self.weights - self.threshold + shift, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.worth(values) - self.threshold + shift, -30, 30)))
 
 
 def _all_measures(texts: Sequence[str | None]) -> np.ndarray:
     return np.concatenate([measures(texts[part]) for part in shingles.chunks(texts)] or [measures([])])
 
 
-def train(values: np.ndarray, labels: Sequence[int], seed: int = 1) -> Model | None:
-    """Fit the weights on random pairs of texts with different labels.  ``values`` has a row of measures for each text."""
-    y, rng = np.asarray(labels), np.random.default_rng(seed)
-    good, poor = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not len(good) or not len(poor):
-        return None
-    centre, spread = values.mean(axis=0), values.std(axis=0) + 1e-3
-    scaled = (values - centre) / spread
-    difference = scaled[rng.choice(good, PAIRS)] - scaled[rng.choice(poor, PAIRS)]
-    weights, past = np.zeros(scaled.shape[1]), np.full(scaled.shape[1], 1e-8)
-    for _ in range(_STEPS):
-        lost = 1 / (1 + np.exp(np.clip(difference @ weights, -30, 30)))
-        gradient = 1e-4 * weights - lost @ difference / PAIRS
-        past += gradient * gradient
-        weights -= 0.1 * gradient / np.sqrt(past)
-    worth = scaled @ weights
-    cuts = np.quantile(worth, np.linspace(0, 1, _QUANTILES + 1))
-    parted = [(worth[good] >= c).mean() + (worth[poor] < c).mean() for c in cuts]
-    best = np.flatnonzero(np.array(parted) >= max(parted) - 1e-12)
-    return Model(centre, weights / spread, float(cuts[best].mean()))
+def _numbered(known: DataFrame, label: int) -> DataFrame:
+    """``(doc_id, label, place)`` of the documents of a label, in a random order from 0."""
+    ids = known.filter(F.col("label") > 0 if label else F.col("label") <= 0).select("doc_id", "label")
+    placed = numbered(ids, shuffled_order(F.col("doc_id").cast("string"), "quality"), ["doc_id"], "place")
+    return placed.withColumn("place", F.col("place") - 1)
+
+
+def pairs(known: DataFrame, n_poor: int, n_good: int) -> DataFrame:
+    """``(good, poor)``: measures of pairs of a good and a poor document of ``(doc_id, label, values)``, in random order.
+
+    Documents of the commoner label stand in one pair, or in so many that there are
+    ``PAIRS``; those of the other label stand in as many more as it takes.
+    """
+    many, few = (1, 0) if n_good > n_poor else (0, 1)
+    n_many, n_few = max(n_good, n_poor), min(n_good, n_poor)
+    rounds = -(-PAIRS // n_many)
+    sides = [known.select("doc_id", "values").join(_numbered(known, of), "doc_id") for of in (many, few)]
+    left = sides[0].select(F.col("values").alias("many"), "place", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round"))
+    left = left.select("many", ((F.col("place") + F.col("round")) % n_few).alias("place"))
+    met = left.join(sides[1].select("place", F.col("values").alias("few")), "place")
+    return met.select(*[F.col("many" if of == many else "few").alias(name) for name, of in (("good", 1), ("poor", 0))])
+
+
+def _weights(known: DataFrame, n_poor: int, n_good: int, spread: np.ndarray) -> np.ndarray:
+    """Weights of the measures in units of their spread: the least logistic loss on the differences of pairs."""
+    units = F.array(*[F.lit(float(x)) for x in 1 / spread])
+    met = pairs(known, n_poor, n_good)
+    # a pair seen from the other side has the opposite difference and the opposite label, and the same loss
+    seen = met.select("good", "poor", F.pmod(F.xxhash64("good", "poor"), F.lit(2)).cast("double").alias("label"))
+    sign = F.col("label") * 2 - 1
+    difference = F.zip_with(F.zip_with("good", "poor", lambda x, y: x - y), units, lambda d, u: d * u)
+    rows = seen.select("label", array_to_vector(F.transform(difference, lambda d: d * sign)).alias("features"))
+    learner = LogisticRegression(maxIter=_ROUNDS, regParam=_PENALTY, fitIntercept=False, standardization=False)
+    return learner.fit(rows).coefficients.toArray()
+
+
+def _threshold(known: DataFrame, model: Model) -> float:
+    """The quantile of the worth of all training texts that parts the labels best."""
+    sent = known.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def worth(values: pd.Series) -> pd.Series:
+        return pd.Series(sent.value.worth(np.stack(values.tolist())) if len(values) else np.zeros(0))
+
+    @F.pandas_udf("int")
+    def cuts_passed(of: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, of.to_numpy(), side="right").astype(np.int32))
+
+    worths = known.select((F.col("label") > 0).alias("good"), worth("values").alias("worth"))
+    shares = [float(q) for q in np.linspace(0, 1, _QUANTILES + 1)]
+    cuts = np.unique(worths.agg(F.percentile_approx("worth", shares, _ACCURACY)).first()[0])
+    counted = worths.groupBy("good", cuts_passed("worth").alias("passed")).count().collect()
+    found = np.zeros((2, len(cuts) + 1))
+    for r in counted:
+        found[int(r["good"]), r["passed"]] += r["count"]
+    below = found.cumsum(axis=1)[:, :-1]  # texts of either label that a cut stands above
+    poor, good = found.sum(axis=1)
+    parted = 1 - below[1] / good + below[0] / poor
+    return float(cuts[parted >= parted.max() - 1e-12].mean())
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, trainable: Column, label_col: str = "quality", per_label: tuple[int, int] = PER_LABEL
+    docs: DataFrame, labels: DataFrame, trainable: Column, label_col: str = "quality", per_label: tuple[int, int] | None = None
 ) -> Model | None:
-    """A model learned on the driver from the measures of about ``per_label`` documents of either label.
+    """A model learned from all labelled documents, or from about ``per_label`` of either label.
 
-    The texts are measured where they are: a row of some fifty numbers is sent, however long a text is.
+    The texts are measured where they are, and their measures stored: a row of some
+    fifty numbers, however long a text is.  The driver gets sums, weights and counts.
     """
     @F.pandas_udf("array<double>")
     def measured(texts: pd.Series) -> pd.Series:
         return pd.Series(list(_all_measures(texts.tolist())))
 
-    chosen = samples.labelled(docs, labels, label_col, trainable, per_label)
-    rows = chosen.select("doc_id", "label", measured("text").alias("values")).orderBy("doc_id").collect()
-    return train(np.array([r["values"] for r in rows]), [r["label"] for r in rows])
+    wanted = samples.known_labels(labels, label_col, trainable)
+    if per_label is not None:
+        wanted = samples.few_labels(wanted, per_label)
+    # measured before the join, so that no text is shuffled
+    values = docs.select(F.col("doc_id").cast("long").alias("doc_id"), measured(F.col("text").cast("string")).alias("values"))
+    known = staged(values.join(wanted, "doc_id").groupBy("doc_id", "label").agg(F.min("values").alias("values")), "quality_measures")
+    n_good, n = known.agg(F.count_if(F.col("label") > 0), F.count(F.lit(1))).first()
+    if not 0 < n_good < n:
+        return None
+    summary = Summarizer.metrics("mean", "variance").summary(array_to_vector("values"))
+    found = known.select(summary.alias("found")).first()["found"]
+    centre, spread = found["mean"].toArray(), np.sqrt(found["variance"].toArray() * (n - 1) / n) + 1e-3
+    model = Model(centre, _weights(known, n - n_good, n_good, spread) / spread, 0.0)
+    return Model(centre, model.weights, _threshold(known, model))
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> Column:

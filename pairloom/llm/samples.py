@@ -35,13 +35,22 @@ def sample(rows: DataFrame, label_col: str, per_label: Column | int, id_col: str
     return rows.join(share, F.col(label_col) == F.col("_of")).filter(draw < F.col("_share")).select(*rows.columns)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label_col: str, trainable: Column, per_label: tuple[int, int]) -> DataFrame:
-    """``(doc_id, text, label)`` of a bounded sample of documents labelled 0 and 1; rows repeated for one id count as their greatest label."""
-    known = (
-        labels.filter(trainable & F.col(label_col).isNotNull())
+def known_labels(labels: DataFrame, label_col: str, trainable: Column) -> DataFrame:
+    """``(doc_id, label)`` of the rows to learn from; rows repeated for one id count as their greatest label."""
+    return (
+        labels.filter(trainable & F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     )
+
+
+def few_labels(known: DataFrame, per_label: tuple[int, int]) -> DataFrame:
+    """About ``per_label`` of the ids labelled 0 and 1."""
+    return sample(known, "label", F.when(F.col("label") > 0, per_label[1]).otherwise(per_label[0]))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label_col: str, trainable: Column, per_label: tuple[int, int]) -> DataFrame:
+    """``(doc_id, text, label)`` of a bounded sample of documents labelled 0 and 1; rows repeated for one id count as their greatest label."""
     # of bounded size, so it may be sent to the documents
-    chosen = F.broadcast(sample(known, "label", F.when(F.col("label") > 0, per_label[1]).otherwise(per_label[0])))
+    chosen = F.broadcast(few_labels(known_labels(labels, label_col, trainable), per_label))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return texts.join(chosen, "doc_id").dropDuplicates(["doc_id"])

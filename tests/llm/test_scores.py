@@ -141,3 +141,19 @@ def test_toxicity_scores_by_definition(spark):
         total = sum(map(math.sqrt, bag.values())) + toxicity.UNKNOWN_WEIGHT
         score = sum(float(model.weights[b]) * math.sqrt(n) for b, n in bag.items()) / total
         assert math.isclose(got[doc_id], sigma(score + model.intercept), abs_tol=1e-4)
+
+
+def test_quality_learns_from_every_labelled_document(spark):
+    """More documents than a sample held before: each stands in a pair, and the centre is that of them all."""
+    n = 7000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string"), F.when(F.col("id") % 5 == 0, " !!")).alias("text"))
+    docs = docs.withColumn("text", F.coalesce("text", F.concat(F.lit("some words "), F.col("doc_id").cast("string"))))
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 != 0).cast("int").alias("quality"))
+    texts = [r["text"] for r in docs.orderBy("doc_id").collect()]
+    model = quality.fit(docs, labels, F.lit(True))
+    assert np.allclose(model.centre, quality.measures(texts).mean(axis=0), atol=1e-9)
+    known = docs.select("doc_id", (F.col("doc_id") % 5 != 0).cast("int").alias("label"), F.array(F.col("doc_id").cast("double")).alias("values"))
+    met = quality.pairs(known, n // 5, n - n // 5).collect()
+    assert len(met) >= quality.PAIRS and len({(r["good"][0], r["poor"][0]) for r in met}) == len(met)
+    assert {r["good"][0] for r in met} | {r["poor"][0] for r in met} == set(map(float, range(n)))
+    assert all(r["good"][0] % 5 and not r["poor"][0] % 5 for r in met)
