@@ -60,9 +60,15 @@ def candidates(left: DataFrame, right: DataFrame, extra: Sequence[str] = ()) ->
 
 
 def one_pass(left: DataFrame, right: DataFrame, left_pc: str, right_pc: str) -> DataFrame:
-    """Distinct pairs that share one kind of postcode each."""
-    sides = [people.select(f"id{s}", F.col(pc + s).alias(f"place{s}")).distinct() for people, pc, s in ((left, left_pc, "_l"), (right, right_pc, "_r"))]
-    return celled_join(*sides, BLOCK).select("id_l", "id_r").distinct()
+    """Distinct pairs that share one kind of postcode each.
+
+    A person's postcodes are gathered first; a pair that shares several is kept at the least, so the pairs are never shuffled.
+    """
+    def places(people: DataFrame, pc: str, s: str) -> DataFrame:
+        persons = people.groupBy(f"id{s}").agg(F.collect_set(pc + s).alias(f"places{s}"))
+        return persons.select("*", F.explode(f"places{s}").alias(f"place{s}"))
+
+    return celled_join(places(left, left_pc, "_l"), places(right, right_pc, "_r"), BLOCK, met_once()).select("id_l", "id_r")
 
 
 # --------------------------------------------------------------------------- agreements
