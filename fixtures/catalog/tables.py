@@ -236,7 +236,7 @@ def p12_households(spark, sf):
 
 @query("p13_agree_or_missing", "SELECT DISTINCT l.id AS id_l, r.id AS id_r FROM l JOIN r ON l.uprn = r.uprn AND (l.sex = r.sex OR l.sex IS NULL OR r.sex IS NULL)")
 def p13(spark, sf):
-    return celled_join(*people(spark, sf), ("uprn",), pk.agree_or_missing("sex")).select(*PAIR).distinct()
+    return pk.at_one_uprn(*people(spark, sf))
 
 
 @query("p14_two_of_three", f"SELECT l.hh_id AS hh_id_l, r.hh_id AS hh_id_r FROM lh l JOIN rh r ON l.uprn = r.uprn AND {ks.TWO}")

@@ -7,7 +7,7 @@ import pytest
 
 from pairloom.operators import blocks
 from pairloom.operators.pairs import PAIR
-from pairloom.plans import scoring
+from pairloom.plans import person_keys as pk, scoring
 
 
 def people(spark, side, seed, n=60):
@@ -38,3 +38,16 @@ def test_pairs_of_one_pass_are_distinct_where_they_meet(spark, monkeypatch, cell
     pairs = scoring.one_pass(left, right, "pc", "pc")
     assert found(pairs) == sorted(expected, key=str)
     assert pairs_are_not_shuffled(pairs)
+
+
+@pytest.mark.parametrize("cell_rows", [2000, 3])
+def test_pairs_of_one_uprn_are_distinct_where_they_meet(spark, monkeypatch, cell_rows):
+    monkeypatch.setattr(blocks, "CELL_ROWS", cell_rows)
+    (a, left), (b, right) = people(spark, "left", 3), people(spark, "right", 4)
+    expected = {
+        (x[0], y[0]) for x, y in itertools.product(a, b)
+        if x[1] is not None and x[1] == y[1] and (x[2] is None or y[2] is None or x[2] == y[2])
+    }
+    pairs = pk.at_one_uprn(left, right)
+    assert found(pairs) == sorted(expected, key=str)
+    assert pairs_are_not_shuffled(pairs)
